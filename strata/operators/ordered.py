@@ -80,6 +80,11 @@ def latest_per_key(
     )
 
 
-def row_hash(df: DataFrame, exclude: Sequence[str] = ()) -> Column:
+def fingerprint(columns: Sequence[Column]) -> Column:
+    """64-bit hash of values and of which of them are NULL (a hash alone skips NULLs)."""
+    return F.xxhash64(*columns, *[c.isNull() for c in columns])
+
+
+def row_hash(df: DataFrame) -> Column:
     """Content hash used only to break ties the same way on every run."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns) if c not in exclude])
+    return fingerprint([F.col(f"`{c}`") for c in sorted(df.columns)])

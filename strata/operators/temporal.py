@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators.ordered import nearest
+from strata.operators.ordered import fingerprint, nearest
 
 
 @dataclass(frozen=True)
@@ -176,11 +176,17 @@ def islands(
     ``state``: slices merge when they touch; the island number runs per key and state,
     so one shuffle serves the look-back, the numbering and the grouping.
     ``reference``: a gap of one day is bridged and the island number runs per key.
+
+    Windows sort by a 128-bit fingerprint of the attributes instead of the attributes;
+    the grouping uses the attributes themselves, so different states never merge.
     """
     if mode not in ("state", "reference"):
         raise ValueError(f"unknown mode {mode!r}")
-    state = [*keys, "__state", *attributes]
-    rows = df.withColumn("__state", F.xxhash64(*[F.col(c) for c in attributes]))
+    columns = [F.col(c) for c in attributes]
+    rows = df.withColumns(
+        {"__h1": fingerprint(columns), "__h2": F.xxhash64(F.lit(2), *reversed(columns))}
+    )
+    state = [*keys, "__h1", "__h2"]
     previous = F.lag(end).over(Window.partitionBy(*state).orderBy(start))
     reach = previous if mode == "state" else F.date_add(previous, 1)
     opens = F.when(previous.isNull() | (F.col(start) > reach), 1).otherwise(0)
@@ -189,9 +195,9 @@ def islands(
     return (
         rows.withColumn("__opens", opens)
         .withColumn("__island", F.sum("__opens").over(running))
-        .groupBy(*state, "__island")
+        .groupBy(*state, "__island", *attributes)
         .agg(F.min(start).alias(start), F.max(end).alias(end))
-        .drop("__state", "__island")
+        .drop("__h1", "__h2", "__island")
     )
 
 

@@ -321,7 +321,7 @@ def gold(
             "Count_as_of_Year": F.year("slice_start"),
             "Count_Type": label(F.col("Count_Type"), COUNT_TYPES),
         }
-    ).distinct()
+    )
     attributes = [
         "Source_System_Code", *GROUP_ATTRIBUTES, *HISTORY_ATTRIBUTES, "Employee_Count",
         "Count_as_of_Year", "Count_Type",
