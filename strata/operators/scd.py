@@ -55,11 +55,13 @@ def scd2(
     No task holds a key: the dates of a key are made distinct before they meet in a
     window, and the changes of one hot key and date are only joined to that date.
     """
+    # repeated positions do not move the steps, so these need not wait for their removal
+    stepping = changes
     if not unique:
         changes = one_per_position(changes, keys, sequence, tie)
     if track is not None:
-        changes = _only_changed(changes, keys, sequence, tie, track)
-    steps = changes.groupBy(*keys, sequence).agg(F.max(tie).alias("__last_tie"))
+        changes = stepping = _only_changed(changes, keys, sequence, tie, track)
+    steps = stepping.groupBy(*keys, sequence).agg(F.max(tie).alias("__last_tie"))
     steps, levels = _calendar_levels(steps, sequence)
     steps = nearest(steps, keys, levels, F.col(sequence), "__next", after=True)
     at = [*keys, sequence]

@@ -32,6 +32,9 @@ class Tables:
     def silver(self, kind: str, name: str) -> str:
         return f"{self.root}/silver-{self.generation}/{kind}/{name.lower()}"
 
+    def published(self, name: str) -> str:
+        return f"{self.root}/published/{name.lower()}"
+
 
 @dataclass(frozen=True)
 class Dimension:
@@ -195,3 +198,15 @@ def entity(spark: SparkSession, tables: Tables, dimension: Dimension, target: st
 
 def audit(spark: SparkSession, tables: Tables) -> DataFrame:
     return read_batches(spark, tables.silver("audit", "dq")).drop("input")
+
+
+def publish(tables: Tables, name: str, df: DataFrame, run: int) -> None:
+    """Write a recomputed table as its own run; readers see a run once it is complete.
+
+    A run that is repeated after a failure overwrites its own folder only.
+    """
+    df.write.mode("overwrite").parquet(f"{tables.published(name)}/run={run}")
+
+
+def published(spark: SparkSession, tables: Tables, name: str, run: int) -> DataFrame:
+    return spark.read.parquet(f"{tables.published(name)}/run={run}")

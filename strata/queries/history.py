@@ -60,7 +60,8 @@ WHERE rn = 1
 
 
 def scd2_history(spark: SparkSession, folder: str) -> DataFrame:
-    versions = scd2(changes(spark, folder), KEYS, "business_date")
+    """Event numbers are unique, so no position repeats."""
+    versions = scd2(changes(spark, folder), KEYS, "business_date", unique=True)
     return present_scd2(versions.drop("Row_Is_Deleted_Ind"), deleted=None)
 
 

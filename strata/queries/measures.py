@@ -247,10 +247,9 @@ COMPLETENESS = " UNION ALL ".join(
 
 def missing_dates(spark: SparkSession, folder: str) -> DataFrame:
     """Days without an order per nation of the customer."""
-    orders = table(spark, folder, "orders").join(
-        table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey")
-    )
-    return metrics.missing_dates(orders, day("o_orderdate"), ["c_nationkey"])
+    days = table(spark, folder, "orders").select("o_custkey", day("o_orderdate").alias("day")).distinct()
+    orders = days.join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    return metrics.missing_dates(orders, F.col("day"), ["c_nationkey"])
 
 
 MISSING_DATES = """

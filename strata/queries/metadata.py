@@ -5,17 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.ordered import latest_per_key
 from strata.plans import config as meta
 from strata.queries.tables import day, table
 
 
 def _scenarios(spark: SparkSession, folder: str) -> DataFrame:
     """One scenario row per segment, priority and nation with its last order date."""
-    orders = table(spark, folder, "orders").join(
+    per_customer = (
+        table(spark, folder, "orders")
+        .groupBy("o_custkey", "o_orderpriority")
+        .agg(F.max(day("o_orderdate")).alias("last_date"))
+    )
+    named = per_customer.join(
         table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey")
     )
-    latest = orders.groupBy("c_mktsegment", "o_orderpriority", "c_nationkey").agg(
-        F.max(day("o_orderdate")).alias("last_date")
+    latest = named.groupBy("c_mktsegment", "o_orderpriority", "c_nationkey").agg(
+        F.max("last_date").alias("last_date")
     )
     nation = table(spark, folder, "nation")
     return latest.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
@@ -45,8 +51,9 @@ GROUP BY 1, 3, n_name
 
 
 def latest_run(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders as run requests: the latest per market segment."""
-    orders = table(spark, folder, "orders").join(
+    """Orders as run requests: the latest per customer, then per market segment."""
+    newest = [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()]
+    orders = latest_per_key(table(spark, folder, "orders"), ["o_custkey"], newest).join(
         table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey")
     )
     runtime = orders.select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,9 +98,15 @@ def timeline_slices(spark: SparkSession, folder: str) -> DataFrame:
 TIMELINE_SLICES = f"WITH {HIST}, {SLICES} SELECT k, s, e FROM slices"
 
 
+def _published(versions: Intervals, name: str) -> Intervals:
+    """The same versions as a written silver table, which later steps read several times."""
+    return replace(versions, frame=save_and_read(versions.frame, name))
+
+
 def containment_join(spark: SparkSession, folder: str) -> DataFrame:
     """Slices joined to every version that contains them, by key and year."""
-    hist, count = states(spark, folder), counts(spark, folder)
+    hist = _published(states(spark, folder), "states")
+    count = _published(counts(spark, folder), "counts")
     rows = slices([hist, count], "s", "e").join(entities(spark, folder), K)
     rows = align(rows, hist, ["status"], "s", "e")
     rows = align(rows, count, ["n"], "s", "e")
@@ -120,7 +128,7 @@ def swept(spark: SparkSession, folder: str) -> DataFrame:
 
 def open_slices(spark: SparkSession, folder: str) -> DataFrame:
     """Every slice, with the yearly count where there is one (left variant)."""
-    hist, count = states(spark, folder), counts(spark, folder)
+    hist, count = states(spark, folder), _published(counts(spark, folder), "counts")
     return align(slices([hist, count], "s", "e"), count, ["n"], "s", "e", outer=True)
 
 

@@ -13,7 +13,7 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.operators.cdc import DELETE, OPERATION, SNAPSHOT_ROW, snapshot_deletes
 
@@ -22,17 +22,33 @@ NO_SOURCE = "Not Used"
 
 
 def read_files(
-    spark: SparkSession, path: str, file_format: str, schema: StructType | None = None
+    spark: SparkSession,
+    path: str,
+    file_format: str,
+    schema: StructType | None = None,
+    malformed: str | None = None,
 ) -> DataFrame:
-    """Read a source folder; only csv files carry a header line."""
+    """Read a source folder; only csv files carry a header line.
+
+    With a schema, ``malformed`` names the column that keeps the text of csv or json
+    lines that do not fit it, instead of losing them.
+    """
     reader = spark.read.format(file_format)
     if file_format == "csv":
         reader = reader.option("header", "true")
+    if schema is not None and malformed:
+        schema = StructType([*schema.fields, StructField(malformed, StringType())])
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", malformed)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)
 
 
+def open_named(spark: SparkSession, name: str, stream: bool = False) -> DataFrame:
+    """A catalog table by name, as it is now or as a stream of what is added."""
+    return spark.readStream.table(name) if stream else spark.table(name)
+
+
 def operations_as_text(df: DataFrame) -> DataFrame:
     """Cast every capture column (``__$...``) to string."""
     names = [c for c in df.columns if c.startswith("__$")]

@@ -1,8 +1,10 @@
 from datetime import date
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from strata.sources import landing
+from strata.streaming.flows import flow, read_batches
 
 A, B = date(2025, 4, 8), date(2025, 4, 9)
 
@@ -93,3 +95,19 @@ def test_dated_folders_are_pruned(spark, tmp_path):
     found = landing.read_dates(spark, str(tmp_path), "20250409", "20250410", "orders")
     assert sorted(r.d for r in found.collect()) == ["20250409", "20250410"]
     assert "PartitionFilters: [isnotnull(BusinessStartDate" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_malformed_lines_are_kept(spark, tmp_path):
+    (tmp_path / "f.json").write_text('{"k": 1}\n{"k": oops}\n')
+    want = StructType([StructField("k", IntegerType())])
+    found = landing.read_files(spark, str(tmp_path), "json", want, "bad").collect()
+    assert sorted((r.k or 0, r.bad) for r in found) == [(0, '{"k": oops}'), (1, None)]
+
+
+def test_named_tables(spark, tmp_path):
+    spark.range(5).write.option("path", str(tmp_path / "t")).saveAsTable("named_numbers")
+    assert landing.open_named(spark, "named_numbers").count() == 5
+    stream = landing.open_named(spark, "named_numbers", stream=True)
+    flow(stream, str(tmp_path / "state"), str(tmp_path / "out"), lambda df: df)
+    assert read_batches(spark, str(tmp_path / "out")).count() == 5
+    spark.sql("DROP TABLE named_numbers")

@@ -8,7 +8,16 @@ from pyspark.sql import functions as F
 from strata.operators.quality import QualityFailure
 from strata.plans import config as meta
 from strata.plans import group_dimension as dim
-from strata.plans.medallion import Dimension, Tables, audit, entity, load_landing, refresh_silver
+from strata.plans.medallion import (
+    Dimension,
+    Tables,
+    audit,
+    entity,
+    load_landing,
+    publish,
+    published,
+    refresh_silver,
+)
 from strata.sources import landing
 
 GROUPS, COUNTED, SECOND = 1000, 500, 500
@@ -209,10 +218,12 @@ def test_5_single_rows_are_corrected(world):
 
 
 def test_6_gold_over_all_sources(world):
-    rows = dim.gold(
-        world.entity("DF_Group"), world.entity("DF_Group_History"), world.entity("DF_Group_Count")
-    )
-    found = rows.collect()
+    names = ("DF_Group", "DF_Group_History", "DF_Group_Count")
+    for name in names:
+        publish(world.tables, name, world.entity(name), 5)
+    silver = [published(world.spark, world.tables, name, 5) for name in names]
+    publish(world.tables, "d_group", dim.gold(*silver), 5)
+    found = published(world.spark, world.tables, "d_group", 5).collect()
     # counts run 2021 to 2023 inside the first version of each group's history
     assert {(r.Row_Effective_Date, r.Row_Term_Date) for r in found} == {(date(2021, 1, 1), date(2023, 1, 1))}
     assert {r.Count_Type for r in found} == {"Group Response"}
