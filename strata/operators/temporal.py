@@ -59,42 +59,46 @@ def slices(tables: Sequence[Intervals], start: str = "slice_start", end: str = "
 
 def align(
     sliced: DataFrame,
-    versions: Intervals,
-    columns: Sequence[str],
+    tables: Sequence[tuple[Intervals, Sequence[str]]],
     start: str = "slice_start",
     end: str = "slice_end",
     outer: bool = False,
+    unique: bool = False,
     years: int = 10,
 ) -> DataFrame:
-    """Attach ``columns`` of every version that contains a slice.
+    """Attach the columns of every version, of each table in turn, that contains a slice.
 
     Both sides are cut by year as well as key: candidates are compared within one
     year only and a hot key spreads over its years. Years before and after the last
-    ``years`` share one part each, so an open or ancient end costs few extra rows;
-    any choice gives the same result.
+    ``years`` of the first table share one part each, so an open or ancient end costs
+    few extra rows; any choice gives the same result. All joins share the cut, so the
+    slices are shuffled once. ``unique`` states that no table repeats a version.
     """
-    keys = list(versions.keys)
-    rows = versions.rows().filter(F.col(versions.start) < F.col(versions.end))
-    rows = rows.select(
-        *[F.col(k).alias(f"v_{k}") for k in keys],
-        F.col(versions.start).alias("__eff"),
-        F.col(versions.end).alias("__term"),
-        *[F.col(c) for c in columns],
-    ).distinct()
-    newest = versions.rows().agg(F.max(versions.start)).scalar()
+    keys = list(tables[0][0].keys)
+    newest = tables[0][0].rows().agg(F.max(tables[0][0].start)).scalar()
     last = F.year(F.least(newest, F.current_date()))
 
     def year_part(day: Column) -> Column:
         return F.greatest(F.least(F.year(day), last), last - years)
 
-    covered = F.sequence(year_part(F.col("__eff")), year_part(F.date_sub("__term", 1)))
-    rows = rows.withColumn("__part", F.explode(covered))
-    parts = sliced.withColumn("__at", year_part(F.col(start)))
-    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"v_{k}") for k in keys])
-    inside = (F.col(start) >= F.col("__eff")) & (F.col(end) <= F.col("__term"))
-    on = same & (F.col("__at") == F.col("__part")) & inside
-    joined = parts.join(rows, on, "left" if outer else "inner")
-    return joined.select(*sliced.columns, *columns)
+    found = sliced.withColumn("__at", year_part(F.col(start)))
+    for versions, columns in tables:
+        rows = versions.rows().filter(F.col(versions.start) < F.col(versions.end))
+        rows = rows.select(
+            *[F.col(k).alias(f"v_{k}") for k in versions.keys],
+            F.col(versions.start).alias("__eff"),
+            F.col(versions.end).alias("__term"),
+            *columns,
+        )
+        rows = rows if unique else rows.distinct()
+        covered = F.sequence(year_part(F.col("__eff")), year_part(F.date_sub("__term", 1)))
+        rows = rows.withColumn("__part", F.explode(covered))
+        same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"v_{k}") for k in keys])
+        inside = (F.col(start) >= F.col("__eff")) & (F.col(end) <= F.col("__term"))
+        on = same & (F.col("__at") == F.col("__part")) & inside
+        joined = found.join(rows, on, "left" if outer else "inner")
+        found = joined.select(*found.columns, *columns)
+    return found.drop("__at")
 
 
 def align_latest(

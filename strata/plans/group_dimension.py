@@ -304,15 +304,13 @@ def gold(
 
     Deleted rows take part, sources are matched by key alone, and the published system
     code is that of the first system. ``county_as_country`` publishes the county as
-    the country.
+    the country. Count types are parallel timelines of one group.
     """
     key = ["Group_Source_Key"]
     hist = Intervals(history, key, "Row_Effective_Date", "Row_Term_Date")
     counts = Intervals(count, key, "Row_Effective_Date", "Row_Term_Date", "Employee_Count <> 0")
-    parts = slices([counts, hist])
-    rows = parts.join(group.select(*key, *GROUP_ATTRIBUTES).distinct(), key)
-    rows = align(rows, hist, HISTORY_ATTRIBUTES)
-    rows = align(rows, counts, COUNT_ATTRIBUTES)
+    rows = slices([counts, hist]).join(group.select(*key, *GROUP_ATTRIBUTES), key)
+    rows = align(rows, [(hist, HISTORY_ATTRIBUTES), (counts, COUNT_ATTRIBUTES)], unique=True)
     country = F.col("Address_County") if county_as_country else F.col("Country")
     rows = rows.withColumns(
         {
@@ -324,11 +322,17 @@ def gold(
     )
     attributes = [
         "Source_System_Code", *GROUP_ATTRIBUTES, *HISTORY_ATTRIBUTES, "Employee_Count",
-        "Count_as_of_Year", "Count_Type",
+        "Count_as_of_Year",
     ]
-    merged = islands(rows, key, attributes, "slice_start", "slice_end", mode)
+    line = [*key, "Count_Type"]
+    if mode == "state":
+        # islands and trimming both work within a timeline: move the wide rows once
+        merged = islands(rows.repartition(*line), line, attributes, "slice_start", "slice_end")
+    else:
+        distinct = rows.distinct()
+        merged = islands(distinct, key, [*attributes, "Count_Type"], "slice_start", "slice_end", mode)
     closed = trim(merged, key, "slice_start", "slice_end", parallel=["Count_Type"])
     renamed = {"slice_start": "Row_Effective_Date", "slice_end": "Row_Term_Date"}
     first = ["Group_Source_Key", "Source_System_Code", "Row_Effective_Date", "Row_Term_Date"]
     rest = [a for a in attributes if a not in first]
-    return closed.withColumnsRenamed(renamed).select(*first, *rest)
+    return closed.withColumnsRenamed(renamed).select(*first, *rest, "Count_Type")

@@ -108,8 +108,7 @@ def containment_join(spark: SparkSession, folder: str) -> DataFrame:
     hist = _published(states(spark, folder), "states")
     count = _published(counts(spark, folder), "counts")
     rows = slices([hist, count], "s", "e").join(entities(spark, folder), K)
-    rows = align(rows, hist, ["status"], "s", "e")
-    rows = align(rows, count, ["n"], "s", "e")
+    rows = align(rows, [(hist, ["status"]), (count, ["n"])], "s", "e")
     return rows.withColumn("yr", F.year("s")).distinct()
 
 
@@ -129,7 +128,7 @@ def swept(spark: SparkSession, folder: str) -> DataFrame:
 def open_slices(spark: SparkSession, folder: str) -> DataFrame:
     """Every slice, with the yearly count where there is one (left variant)."""
     hist, count = states(spark, folder), _published(counts(spark, folder), "counts")
-    return align(slices([hist, count], "s", "e"), count, ["n"], "s", "e", outer=True)
+    return align(slices([hist, count], "s", "e"), [(count, ["n"])], "s", "e", outer=True)
 
 
 OPEN_SLICES = f"""
@@ -209,13 +208,9 @@ def gold_group(spark: SparkSession, folder: str) -> DataFrame:
     group = scd1(
         shaping.mapped(shaping.a_group(spark, folder), system, dim.GROUP), key, "business_date"
     )
-    history = present_scd2(
-        scd2(
-            shaping.mapped(shaping.a_history(spark, folder), system, dim.HISTORY),
-            key,
-            "business_date",
-        )
-    )
+    states_of_group = shaping.mapped(shaping.a_history(spark, folder), system, dim.HISTORY)
+    # the processing time is an order number and unique
+    history = present_scd2(scd2(states_of_group, key, "business_date", unique=True))
     count = scd1(
         shaping.mapped(shaping.a_count(spark, folder), system, dim.COUNT),
         [*key, "Count_Type", "Row_Effective_Date"],

@@ -207,14 +207,14 @@ def test_4_corrected_file_replaces_its_date(world):
 def test_5_single_rows_are_corrected(world):
     table = world.tables.landing(dim.A_GROUP)
     wrong = world.landed(dim.A_GROUP).filter("business_date = date'2025-04-08' and GRGR_CK = 5")
-    fixed = wrong.withColumn("GRGR_NAME", F.lit("rm strategic, l.l.c"))
+    fixed = wrong.withColumn("GRGR_NAME", F.lit("north ridge, l.l.c"))
     landing.correct_rows(world.spark, table, fixed, ["GRGR_ID", "GRGR_CK"])
     assert world.landed(dim.A_GROUP).filter("business_date = date'2025-04-08'").count() == 60
     world.run(
         "apply_correction", ("Facets", "DF_GROUP", APRIL_8, ""), correction="delta_correction"
     )
     row = world.entity("DF_Group").filter("Group_Source_Key = '5'").first()
-    assert (row.Group_Name, row.processing_time) == ("Rm Strategic, L.l.c", 5)
+    assert (row.Group_Name, row.processing_time) == ("North Ridge, L.l.c", 5)
 
 
 def test_6_gold_over_all_sources(world):

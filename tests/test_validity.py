@@ -42,7 +42,7 @@ def test_align_keeps_contained_slices_only(spark):
     sliced = slices([states, counts])
     want = [(m(1), m(2), "x", "1"), (m(2), m(3), "x", "2"), (m(3), m(4), "y", "2")]
     columns = ["slice_start", "slice_end", "v", "n"]
-    assert got(align(align(sliced, states, ["v"]), counts, ["n"]), *columns) == want
+    assert got(align(sliced, [(states, ["v"]), (counts, ["n"])]), *columns) == want
     assert got(align_latest(align_latest(sliced, states, ["v"]), counts, ["n"]), *columns) == want
     assert got(timeline([(states, ["v"]), (counts, ["n"])]), *columns) == want
 
@@ -58,13 +58,13 @@ def test_align_with_overlaps_ancient_and_open_versions(spark):
         if s <= r.slice_start and r.slice_end <= e
     )
     for years in (1, 10, 200):
-        assert got(align(sliced, versions, ["v"], years=years), "slice_start", "slice_end", "v") == want
+        assert got(align(sliced, [(versions, ["v"])], years=years), "slice_start", "slice_end", "v") == want
 
 
 def test_left_variant_keeps_slices_without_a_version(spark):
     states = intervals(spark, (m(1), m(3), "x"))
     counts = intervals(spark, (m(2), m(3), "1"), value="n")
-    found = align(slices([states, counts]), counts, ["n"], outer=True)
+    found = align(slices([states, counts]), [(counts, ["n"])], outer=True)
     assert got(found, "slice_start", "n") == [(m(1), None), (m(2), "1")]
 
 
@@ -124,6 +124,6 @@ def test_empty_input(spark):
     none = intervals(spark).frame.filter("false")
     versions = Intervals(none, ["k"], "s", "e")
     assert slices([versions]).count() == 0
-    assert align(slices([versions]), versions, ["v"]).count() == 0
+    assert align(slices([versions]), [(versions, ["v"])]).count() == 0
     assert timeline([(versions, ["v"])]).count() == 0
     assert trim(islands(none, ["k"], ["v"], "s", "e"), ["k"], "s", "e").count() == 0
