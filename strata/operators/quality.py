@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -48,15 +49,21 @@ def _found(constraints: Sequence[str]) -> Column:
 
 
 def assess(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
-    """Evaluate every rule once; one array of violated texts per severity."""
+    """Evaluate every rule; per severity a flag and the array of violated texts.
+
+    Splits test the flags, so the texts are only built for rows that become records.
+    """
     rules = list(rules)
-    actions = (FAIL, QUARANTINE, WARN, DROP)
-    arrays = [_found(of_action(rules, action)).alias(action.lower()) for action in actions]
-    return df.withColumn(VIOLATIONS, F.struct(*arrays))
+    found = []
+    for action in (FAIL, QUARANTINE, WARN, DROP):
+        constraints = of_action(rules, action)
+        flag = reduce(lambda a, b: a | b, [violated(c) for c in constraints], F.lit(False))
+        found += [flag.alias(f"is_{action.lower()}"), _found(constraints).alias(action.lower())]
+    return df.withColumn(VIOLATIONS, F.struct(*found))
 
 
 def _any(action: str) -> Column:
-    return F.size(F.col(VIOLATIONS)[action.lower()]) > 0
+    return F.col(VIOLATIONS)[f"is_{action.lower()}"]
 
 
 def annotate(
@@ -128,30 +135,20 @@ def warned_rows(assessed: DataFrame) -> DataFrame:
 def audit_records(
     assessed: DataFrame, dimension_table: str, target_table: str, validated_table: str
 ) -> DataFrame:
-    """One record per row and severity that found it bad.
+    """One record per bad row, with the rules of the severity that found it bad.
 
-    A quarantined row never reaches the warn stage, so it gives one record only.
+    A quarantined row never reaches the warn stage, so no row gives two records.
     """
     content = [c for c in assessed.columns if c != VIOLATIONS]
-    quarantined = _any(QUARANTINE)
-    stages = F.array(
-        F.struct(F.lit(QUARANTINE).alias("dq_type"), F.col(VIOLATIONS)["quarantine"].alias("rules")),
-        F.struct(
-            F.lit(WARN).alias("dq_type"),
-            F.when(quarantined, F.array().cast("array<string>"))
-            .otherwise(F.col(VIOLATIONS)["warn"])
-            .alias("rules"),
-        ),
-    )
-    bad = assessed.filter(quarantined | (_any(WARN) & ~_any(DROP)))
-    staged = bad.withColumn("__stage", F.explode(F.filter(stages, lambda s: F.size(s["rules"]) > 0)))
-    rules = F.col("__stage")["rules"]
+    held = _any(QUARANTINE)
+    bad = assessed.filter(held | (_any(WARN) & ~_any(DROP)))
+    rules = F.when(held, F.col(VIOLATIONS)["quarantine"]).otherwise(F.col(VIOLATIONS)["warn"])
     reason = F.map_from_arrays(rules, F.transform(rules, lambda r: F.lit(False)))
 
     def own(name: str, kind: str) -> Column:
         return F.col(name) if name in content else F.lit(None).cast(kind).alias(name)
 
-    return staged.select(
+    return bad.select(
         F.lit(dimension_table).alias("dimension_table"),
         F.lit(target_table).alias("target_table"),
         F.lit(validated_table).alias("validated_table"),
@@ -159,7 +156,7 @@ def audit_records(
         own("source_schema", "string"),
         F.to_json(F.struct(*[F.col(f"`{c}`") for c in content])).alias("input_details"),
         reason.alias("reason"),
-        F.col("__stage")["dq_type"].alias("dq_type"),
+        F.when(held, QUARANTINE).otherwise(WARN).alias("dq_type"),
         own("business_date", "date"),
         own("processing_time", "bigint"),
     )

@@ -24,7 +24,9 @@ def build_session(master: str | None = None, app: str = "strata", **conf: str) -
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.ansi.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         **{k.replace("__", "."): v for k, v in conf.items()},

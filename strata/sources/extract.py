@@ -101,7 +101,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
     fields = F.split("line", r"\|")
     lines = raw.filter(F.trim("line") != "").withColumns(
-        {"tag": fields[0], "fields": F.slice(fields, 2, 1_000_000), "block": F.shiftright("at", BLOCK_BITS)}
+        {"tag": fields[0], "fields": F.slice(fields, F.lit(2), F.size(fields) - 1), "block": F.shiftright("at", BLOCK_BITS)}
     )
     own = F.when(F.col("tag") == PARENT, F.col("fields")[0])
     placed = nearest(lines, [], ["file", "split", "block", "at"], own, "under", inclusive=True)

@@ -25,9 +25,12 @@ Step = Callable[[DataFrame], DataFrame]
 def read_folder(
     spark: SparkSession, folder: str, schema: StructType, max_files: int | None = None
 ) -> DataFrame:
-    """New files of a folder, each seen once; files that vanish or are replaced are
-    not followed, a reloaded date arrives as new files."""
-    reader = spark.readStream.schema(schema)
+    """New files of a folder, each seen once.
+
+    A reloaded date arrives as new files; files that have gone, even from a batch that
+    failed before, are passed over.
+    """
+    reader = spark.readStream.schema(schema).option("ignoreMissingFiles", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(folder)

@@ -64,6 +64,11 @@ def test_fail_rule_stops_before_any_write(spark, tmp_path):
     with pytest.raises(Exception, match=f"{QualityFailure.__name__}|k is null: 1 rows"):
         flows.refine(stream(spark, place), state, lambda df: df, rules, lambda df: df, out, audit, ("d", "t", "v"))
     assert not (tmp_path / "out").exists() and not (tmp_path / "audit").exists()
+    # the corrected delivery replaces the bad file, and the next run goes on
+    good = spark.createDataFrame([("a", date(2025, 1, 1), 3, "x")], SCHEMA)
+    good.coalesce(1).write.mode("overwrite").parquet(place)
+    flows.refine(stream(spark, place), state, lambda df: df, rules, lambda df: df, out, audit, ("d", "t", "v"))
+    assert flows.read_batches(spark, out).count() == flows.read_batches(spark, audit).count() == 1
 
 
 def test_clean_and_audit_add_up(spark, tmp_path):
