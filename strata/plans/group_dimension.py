@@ -299,18 +299,25 @@ def gold(
     count: DataFrame,
     mode: str = "state",
     county_as_country: bool = False,
+    require_counts: bool = True,
 ) -> DataFrame:
     """Closed-day timeline of every group: entity, history and employee counts combined.
 
     Deleted rows take part, sources are matched by key alone, and the published system
     code is that of the first system. ``county_as_country`` publishes the county as
-    the country. Count types are parallel timelines of one group.
+    the country. Count types are parallel timelines of one group. Without
+    ``require_counts`` slices without an employee count stay, as for a source that
+    sends none.
     """
     key = ["Group_Source_Key"]
     hist = Intervals(history, key, "Row_Effective_Date", "Row_Term_Date")
     counts = Intervals(count, key, "Row_Effective_Date", "Row_Term_Date", "Employee_Count <> 0")
     rows = slices([counts, hist]).join(group.select(*key, *GROUP_ATTRIBUTES), key)
-    rows = align(rows, [(hist, HISTORY_ATTRIBUTES), (counts, COUNT_ATTRIBUTES)], unique=True)
+    if require_counts:
+        rows = align(rows, [(hist, HISTORY_ATTRIBUTES), (counts, COUNT_ATTRIBUTES)], unique=True)
+    else:
+        rows = align(rows, [(hist, HISTORY_ATTRIBUTES)], unique=True)
+        rows = align(rows, [(counts, COUNT_ATTRIBUTES)], unique=True, outer=True)
     country = F.col("Address_County") if county_as_country else F.col("Country")
     rows = rows.withColumns(
         {

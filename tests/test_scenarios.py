@@ -228,6 +228,10 @@ def test_6_gold_over_all_sources(world):
     assert {(r.Row_Effective_Date, r.Row_Term_Date) for r in found} == {(date(2021, 1, 1), date(2023, 1, 1))}
     assert {r.Count_Type for r in found} == {"Group Response"}
     assert len({r.Group_Source_Key for r in found}) == len(found)
+    # the second source sends no counts and only shows where none are required
+    wide = dim.gold(*silver, require_counts=False)
+    assert wide.filter("Group_Source_Key like 'B%'").count() == SECOND - 1
+    assert not any(r.Group_Source_Key.startswith("B") for r in found)
 
 
 def test_7_bad_keys_stop_the_run(world):
