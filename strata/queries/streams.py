@@ -138,10 +138,28 @@ def stream_scd2(spark: SparkSession, folder: str) -> DataFrame:
     return present_scd2(versions.drop("Row_Is_Deleted_Ind"), deleted=None)
 
 
+def stream_scd2_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """The same versions, kept up to date bucket by bucket."""
+    stream, place = _landed(spark, history.changes(spark, folder), "history")
+    flows.follow_history(
+        stream,
+        f"{place}-state",
+        f"{place}-log",
+        f"{place}-table",
+        history.KEYS,
+        "business_date",
+        "processing_time",
+        lambda versions: present_scd2(versions.drop("Row_Is_Deleted_Ind"), deleted=None),
+        buckets=16,
+    )
+    return flows.read_history(spark, f"{place}-table")
+
+
 QUERIES = {
     "stream_bronze": (stream_bronze, STREAM_BRONZE),
     "stream_dq_clean": (stream_dq_clean, STREAM_DQ_CLEAN),
     "stream_dq_audit": (stream_dq_audit, STREAM_DQ_AUDIT),
     "stream_scd1": (stream_scd1, history.SCD1_LATEST),
     "stream_scd2": (stream_scd2, history.SCD2_HISTORY),
+    "stream_scd2_refresh": (stream_scd2_refresh, history.SCD2_HISTORY),
 }

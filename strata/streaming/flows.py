@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -18,7 +18,7 @@ from strata.operators.ordered import row_hash
 from strata.operators.quality import Rule, assess, audit_records, check_fail_rules, clean_rows
 from strata.operators.scd import scd1, scd2
 
-BATCH = "batch_id"
+BATCH, BUCKET = "batch_id", "bucket"
 Step = Callable[[DataFrame], DataFrame]
 
 
@@ -134,3 +134,53 @@ def history_state(
 
     A change that arrived late, or twice, takes its place by sequence."""
     return scd2(read_batches(spark, table), keys, sequence, tie, **options)
+
+
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def follow_history(
+    stream: DataFrame,
+    checkpoint: str,
+    log: str,
+    table: str,
+    keys: Sequence[str],
+    sequence: str,
+    tie: str,
+    present: Step,
+    buckets: int = 256,
+) -> None:
+    """Type 2 upsert: only the buckets of keys that changed are derived and written again.
+
+    Changes are logged by batch and bucket; the presented versions are partitioned by
+    bucket and replaced bucket by bucket, in parallel within a bucket. Both come from
+    the log, so a batch that runs twice leaves the same table.
+    """
+    spark = stream.sparkSession
+
+    def write(df: DataFrame, batch: int) -> None:
+        rows = df.withColumn(BUCKET, bucket_of(keys, buckets))
+        spread = rows.hint("rebalance", F.col(BUCKET))
+        spread.write.mode("overwrite").partitionBy(BUCKET).parquet(batch_folder(log, batch))
+        reader = spark.read.schema(rows.schema)
+        touched = reader.parquet(batch_folder(log, batch)).select(BUCKET).distinct()
+        # at most ``buckets`` numbers come to the driver, to prune the log's folders
+        numbers = [r[0] for r in touched.collect()]
+        if not numbers:
+            return
+        logged = reader.option("basePath", log).parquet(log).drop(BATCH)
+        versions = present(scd2(logged.filter(F.col(BUCKET).isin(numbers)), keys, sequence, tie))
+        (
+            versions.hint("rebalance", F.col(BUCKET))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(BUCKET)
+            .parquet(table)
+        )
+
+    drain(stream, checkpoint, write)
+
+
+def read_history(spark: SparkSession, table: str) -> DataFrame:
+    return spark.read.parquet(table).drop(BUCKET)

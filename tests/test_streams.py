@@ -80,3 +80,26 @@ def test_clean_and_audit_add_up(spark, tmp_path):
     assert {r.k for r in flows.read_batches(spark, out).collect()} == {"b", "d"}
     records = flows.read_batches(spark, audit)
     assert records.count() == 2 and records.select(F.sum("processing_time")).first()[0] == 4
+
+
+def test_history_rewrites_touched_buckets_only(spark, tmp_path):
+    place, state, log, table = (str(tmp_path / n) for n in ("in", "state", "log", "table"))
+
+    def run():
+        options = (["k"], "business_date", "processing_time", lambda v: v)
+        flows.follow_history(stream(spark, place), state, log, table, *options, buckets=64)
+
+    def files():
+        return {p: p.stat().st_mtime_ns for p in (tmp_path / "table").glob("bucket=*/*.parquet")}
+
+    deliver(spark, place, *[(k, 1, 1, "x") for k in "abcdefgh"], ("a", 5, 2, "y"))
+    run()
+    before = files()
+    deliver(spark, place, ("a", 3, 3, "late"), ("a", 5, 2, "y"))
+    run()
+    kept = {p for p in before if files().get(p) == before[p]}
+    assert len(before) - len(kept) == 1
+    found = flows.read_history(spark, table)
+    assert found.count() == 10
+    got = sorted((r.start_at.day, r.end_at.day if r.end_at else None) for r in found.filter("k = 'a'").collect())
+    assert got == [(1, 3), (3, 5), (5, None)]
