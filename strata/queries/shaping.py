@@ -259,7 +259,7 @@ def map_count_a(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(mapped(a_count(spark, folder), "Facets", "DF_Group_Count"))
 
 
-_COUNT_FEED = """
+COUNT_FEED = """
 SELECT o_custkey AS k,
        CASE o_orderpriority WHEN '1-URGENT' THEN 'MLRR' WHEN '2-HIGH' THEN 'MLRP' ELSE 'MLRD' END AS kind,
        CAST(date_trunc('year', o_orderdate) AS DATE) AS eff,
@@ -271,7 +271,7 @@ MAP_COUNT_A = f"""
 SELECT kind AS "Count_Type", eff AS "Row_Effective_Date", term AS "Row_Term_Date", n AS "Employee_Count",
        eff AS business_date, CAST({RUN} AS BIGINT) AS processing_time,
        CAST(k AS VARCHAR) AS "Group_Source_Key", 'Facets' AS "Source_System_Code", 'N' AS "Row_Is_Deleted_Ind"
-FROM ({_COUNT_FEED})
+FROM ({COUNT_FEED})
 """
 
 
@@ -279,7 +279,7 @@ def map_source_b(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(mapped(b_group(spark, folder), "vhp", "df_group"))
 
 
-_B_GROUP = f"""
+B_GROUP_SQL = f"""
 SELECT s_name AS "Group_Name", CAST(s_nationkey AS VARCHAR) AS "Group_Type_Code",
        DATE '2025-04-08' AS business_date, CAST({RUN} AS BIGINT) AS processing_time,
        s_name AS "Group_Source_Key", 'VHP' AS "Source_System_Code",
@@ -322,7 +322,7 @@ MAP_UNION_SOURCES = f"""
 SELECT * REPLACE (coalesce("ITS_Code", 'none') AS "ITS_Code") FROM (
   SELECT * FROM ({MAP_SOURCE_A})
   UNION ALL BY NAME
-  SELECT * EXCLUDE ("ITS_Code") FROM ({_B_GROUP}))
+  SELECT * EXCLUDE ("ITS_Code") FROM ({B_GROUP_SQL}))
 """
 
 
@@ -343,7 +343,7 @@ QUERIES = {
     "map_source_a": (map_source_a, MAP_SOURCE_A),
     "map_history_a": (map_history_a, MAP_HISTORY_A),
     "map_count_a": (map_count_a, MAP_COUNT_A),
-    "map_source_b": (map_source_b, _B_GROUP),
+    "map_source_b": (map_source_b, B_GROUP_SQL),
     "map_history_b": (map_history_b, MAP_HISTORY_B),
     "map_union_sources": (map_union_sources, MAP_UNION_SOURCES),
     "map_rename_existing": (rename_and_filter, RENAME_AND_FILTER),

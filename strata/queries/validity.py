@@ -232,7 +232,7 @@ WITH hist AS (SELECT k, eff, coalesce(lead(eff) OVER w, DATE '9999-12-31') AS te
   FROM (SELECT o_custkey AS k, CAST(o_orderdate AS DATE) AS eff, o_orderkey AS seq,
                o_orderstatus AS status, o_orderpriority AS city FROM orders)
   WINDOW w AS (PARTITION BY k ORDER BY eff, seq)),
-cnt AS ({shaping._COUNT_FEED}), {SLICES},
+cnt AS ({shaping.COUNT_FEED}), {SLICES},
 inc AS (SELECT DISTINCT g.c_custkey AS k, g.c_name AS group_name, g.c_mktsegment AS type_code, h.status, h.city,
                c.n, c.kind, year(sl.s) AS yr, sl.s, sl.e
         FROM slices sl JOIN customer g ON g.c_custkey = sl.k

@@ -178,6 +178,8 @@ def load(
     source sends its own operation codes. Delete rows carry the run's date.
     """
     if compute_cdc and scenario != "historical_run":
+        if not keys:
+            raise ValueError(f"deletes of {table} need the key columns of its snapshots")
         rows = snapshot_deletes(rows, read_table_if_any(spark, table), keys)
         deleted = F.col(f"`{OPERATION}`") == DELETE
         stamped = F.when(deleted, F.lit(run_date).cast("date")).otherwise(F.col(BUSINESS_DATE))
