@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as contract
+from strata.queries import all_queries
 
 # a single task sees one row per rule, per run input or per file here
 ONE_TASK_WINDOW = {"metrics_top_violations", "extract_parse"}
@@ -12,9 +12,9 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_no_pairs_no_python_no_single_task(spark, data, name):
-    text = plan(contract.queries()[name](spark, data))
+    text = plan(all_queries()[name](spark, data))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython"):
         assert bad not in text
     if name not in ONE_TASK_WINDOW:

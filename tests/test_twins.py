@@ -4,8 +4,9 @@ import pytest
 from twin import connect, differences
 
 import __spark_entry__ as contract
+from strata.queries import all_queries, all_sql
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = all_queries(), all_sql()
 
 
 @pytest.fixture(scope="module")
