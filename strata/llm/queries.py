@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.llm.bpe import encode_digests
 from strata.llm.divergence import quality
+from strata.llm.language import identify
 from strata.llm.tokens import token_counts
 from strata.queries.tables import table
 
@@ -23,8 +25,18 @@ def op3_two_tier_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), _tokenizer("piece_bpe_32k.model"))
 
 
+def op5_streaming_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_digests(table(spark, folder, "documents"), _tokenizer("word_bpe_49k.json"))
+
+
+def op7_subword_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return identify(table(spark, folder, "documents"))
+
+
 #: name -> (query, SQL twin or None)
 QUERIES = {
     "op2_distribution_divergence": (op2_distribution_divergence, None),
     "op3_two_tier_token_counts": (op3_two_tier_token_counts, None),
+    "op5_streaming_bpe": (op5_streaming_bpe, None),
+    "op7_subword_language_id": (op7_subword_language_id, None),
 }
