@@ -70,14 +70,15 @@ def text_key(text: str = "text") -> Column:
     return F.xxhash64(F.col(text))
 
 
-def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+def same(left: str, right: str, keys: list[str]) -> Column:
+    """Equality of the keys of two aliased frames; nulls are equal."""
     test = F.lit(True)
     for key in keys:
-        test = test & left[key].eqNullSafe(right[key])
+        test = test & F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}"))
     return test
 
 
 __all__ = [
-    "arrow_schema", "bound_batches", "id_type", "null_safe", "per_row", "save_and_read",
+    "arrow_schema", "bound_batches", "id_type", "per_row", "same", "save_and_read",
     "text_key", "to_batch",
 ]
