@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.llm import chat, decontaminate
 from strata.llm.bpe import encode_digests
 from strata.llm.divergence import quality
 from strata.llm.language import identify
+from strata.llm.licenses import license_scan
+from strata.llm.pii import span_report
 from strata.llm.tokens import token_counts
 from strata.queries.tables import table
 
@@ -17,6 +20,10 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_perspective_rotation(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.perspectives(table(spark, folder, "conversations"))
+
+
 def op2_distribution_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return quality(table(spark, folder, "documents"))
 
@@ -25,18 +32,36 @@ def op3_two_tier_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), _tokenizer("piece_bpe_32k.model"))
 
 
+def op4_winnowing_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
 def op5_streaming_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encode_digests(table(spark, folder, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
+def op6_weak_supervision_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return span_report(table(spark, folder, "documents"))
+
+
 def op7_subword_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify(table(spark, folder, "documents"))
 
 
+def op8_patience_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan(table(spark, folder, "documents"))
+
+
 #: name -> (query, SQL twin or None)
 QUERIES = {
+    "op1_perspective_rotation": (op1_perspective_rotation, chat.SQL),
     "op2_distribution_divergence": (op2_distribution_divergence, None),
     "op3_two_tier_token_counts": (op3_two_tier_token_counts, None),
+    "op4_winnowing_decontamination": (op4_winnowing_decontamination, decontaminate.SQL),
     "op5_streaming_bpe": (op5_streaming_bpe, None),
+    "op6_weak_supervision_pii": (op6_weak_supervision_pii, None),
     "op7_subword_language_id": (op7_subword_language_id, None),
+    "op8_patience_license_scan": (op8_patience_license_scan, None),
 }
