@@ -132,7 +132,7 @@ def stretches(t: Template, text: list[str], where: dict[str, list[int]]) -> list
     """Where the template may stand: around each place of its rarest needed word.
 
     Two copies of a license next to each other would hide each other's anchors, so a stretch
-    that holds the word again is also tried cut off between the two places.
+    that may reach into another copy is also tried cut off between the two places.
     """
     rarest = min((w for w in t.needed if t.words.count(w) == 1), key=lambda w: (len(where[w]), w))
     before = t.words.index(rarest)
@@ -142,10 +142,10 @@ def stretches(t: Template, text: list[str], where: dict[str, list[int]]) -> list
     for i, p in enumerate(places):
         low, high = max(0, p - before - t.slack), min(len(text), p + after + t.slack)
         out.append((low, high))
-        if i and places[i - 1] >= low:
-            low = max(places[i - 1] + 1, min(p - before, places[i - 1] + after))
-        if i + 1 < len(places) and places[i + 1] < high:
-            high = min(places[i + 1], max(p + after, places[i + 1] - before))
+        if i and places[i - 1] + after > low:
+            low = max(low, places[i - 1] + 1, min(p - before, places[i - 1] + after))
+        if i + 1 < len(places) and places[i + 1] - before < high:
+            high = min(high, places[i + 1], max(p + after, places[i + 1] - before))
         if (low, high) != out[-1]:
             out.append((low, high))
     return out
