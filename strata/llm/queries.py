@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.llm import chat, decontaminate
 from strata.llm.bpe import encode_digests
 from strata.llm.divergence import quality
+from strata.llm.jaccard import similarity_components
 from strata.llm.language import identify
 from strata.llm.licenses import license_scan
 from strata.llm.pii import span_report
+from strata.llm.substring import deduplicated
 from strata.llm.tokens import token_counts
 from strata.queries.tables import table
 
@@ -54,6 +56,14 @@ def op8_patience_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan(table(spark, folder, "documents"))
 
 
+def op9_partenum_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return similarity_components(table(spark, folder, "documents"), size=4, percent=85)
+
+
+def op10_automaton_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return deduplicated(table(spark, folder, "documents"), span=35)
+
+
 #: name -> (query, SQL twin or None)
 QUERIES = {
     "op1_perspective_rotation": (op1_perspective_rotation, chat.SQL),
@@ -64,4 +74,6 @@ QUERIES = {
     "op6_weak_supervision_pii": (op6_weak_supervision_pii, None),
     "op7_subword_language_id": (op7_subword_language_id, None),
     "op8_patience_license_scan": (op8_patience_license_scan, None),
+    "op9_partenum_jaccard": (op9_partenum_jaccard, None),
+    "op10_automaton_substring_dedup": (op10_automaton_substring_dedup, None),
 }
