@@ -89,31 +89,23 @@ def _starts(ws: Column, grams: Column, w: Column, span: int) -> Column:
     )
 
 
-def contamination(
-    docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int = GRAM
-) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every row of ``docs``.
+KEYS = ["doc_id", "text_key"]
 
-    Null and empty texts have no words; an item without words never occurs, one without an
-    id hits words but is not listed. Items with the same id count once; repeated rows of
-    ``docs`` are each reported. An empty table of documents gives no rows, an empty
-    benchmark leaves all clean. Other columns are not used.
+
+def contained(docs: DataFrame, wins: DataFrame, span: int = SPAN, k: int = GRAM) -> DataFrame:
+    """doc_id, text_key, sure (window and its places) of the texts that contain windows.
+
+    ``docs`` has doc_id, text and text_key; rows alike are one. ``wins`` comes from ``windows``.
     """
-    docs = docs.select("doc_id", "text", text_key().alias("text_key"))
-    keys = ["doc_id", "text_key"]
-    wins = save_and_read(windows(benchmark, span, k), "windows")
     # at most span - 1 numbers
     short = sorted(r.n for r in wins.select(F.size("win").alias("n")).where(f"n < {span}").distinct().collect())
-    marks = wins.select("fp", "win", "at").distinct()
-    seen = docs.select(*keys, F.explode(fingerprints(F.col("text"), short, span, k)).alias("fp"))
+    marks = save_and_read(wins.select("fp", "win", "at").distinct(), "marks")
+    seen = docs.select(*KEYS, F.explode(fingerprints(F.col("text"), short, span, k)).alias("fp"))
     # one row for each window whose fingerprint occurs in the document
-    hits = seen.join(save_and_read(marks, "marks"), "fp").distinct()
-    hits = hits.groupBy(*keys).agg(F.collect_list(F.struct("win", "fp", "at")).alias("found"))
-    # repeated rows must not multiply the hits
-    texts = docs.dropDuplicates(keys).alias("d")
-    hits = save_and_read(hits, "hits").alias("h")
-    rows = texts.join(hits, same("d", "h", keys)).select(
-        "d.*", "found"
+    hits = seen.join(marks, "fp").distinct()
+    hits = hits.groupBy(*KEYS).agg(F.collect_list(F.struct("win", "fp", "at")).alias("found"))
+    texts = docs.join(save_and_read(hits, "hits").withColumnRenamed("doc_id", "id"), "text_key").where(
+        F.col("doc_id").eqNullSafe(F.col("id"))
     )
 
     def verify(ws: Column) -> Column:
@@ -126,10 +118,37 @@ def contamination(
 
         return let(gram_hashes(ws, k, span), found)
 
-    rows = save_and_read(
-        rows.select(*keys, let(words(F.col("text")), verify).alias("sure")).where(F.size("sure") > 0),
-        "contained",
+    rows = texts.select(*KEYS, let(words(F.col("text")), verify).alias("sure")).where(F.size("sure") > 0)
+    return save_and_read(rows, "contained").dropDuplicates(KEYS)
+
+
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int = GRAM) -> DataFrame:
+    """The rows of ``docs``, all columns, that contain no window of the benchmark."""
+    keyed = docs.select("doc_id", "text", text_key().alias("text_key"))
+    found = contained(keyed, save_and_read(windows(benchmark, span, k), "windows"), span, k)
+    found = save_and_read(found.select(*KEYS), "leaks").alias("leak")
+    return docs.alias("d").join(
+        found,
+        F.col("d.doc_id").eqNullSafe(F.col("leak.doc_id"))
+        & text_key("d.text").eqNullSafe(F.col("leak.text_key")),
+        "left_anti",
     )
+
+
+def contamination(
+    docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int = GRAM
+) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every row of ``docs``.
+
+    Null and empty texts have no words; an item without words never occurs, one without an
+    id hits words but is not listed. Items with the same id count once; repeated rows of
+    ``docs`` are each reported. An empty table of documents gives no rows, an empty
+    benchmark leaves all clean. Other columns are not used.
+    """
+    docs = docs.select("doc_id", "text", text_key().alias("text_key"))
+    keys = KEYS
+    wins = save_and_read(windows(benchmark, span, k), "windows")
+    rows = contained(docs, wins, span, k)
     places = F.flatten(F.flatten(F.transform("sure", lambda x: F.transform(
         x.starts, lambda s: F.sequence(s, s + F.size(x.win) - 1)))))
     hit = rows.select(*keys, F.size(F.array_distinct(places)).cast("long").alias("n_hit"))

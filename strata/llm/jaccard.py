@@ -22,7 +22,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm import words as W
@@ -283,6 +283,22 @@ def similarity_components(docs: DataFrame, size: int = 5, percent: int = 80) ->
     )
 
 
+def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns, without near duplicates: of each component the row
+    with the least doc_id stays (of several rows with that id, the one whose text sorts first).
+
+    Rows without words or without a doc_id link with nothing and stay.
+    """
+    found = similarity_components(docs, size, percent)
+    kept = found.where("doc_id = component_id").groupBy("doc_id").agg(F.max("n_shingles").alias("n"))
+    kept = save_and_read(kept, "kept").withColumnsRenamed({"doc_id": "kept_id", "n": "kept_n"})
+    least = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
+    own = docs.where("doc_id is not null").join(kept, F.col("doc_id") == F.col("kept_id"))
+    own = own.withColumn("kept_at", F.row_number().over(least))
+    own = own.where("kept_at = 1 or kept_n = 0").select(*docs.columns)
+    return own.unionByName(docs.where("doc_id is null"))
+
+
 def _texts(docs: DataFrame, classes: DataFrame, keys: DataFrame, size: int) -> DataFrame:
     """key, id, text: one text for each set that is a candidate."""
     wanted = classes.join(keys, "key").select(F.col("id").alias("doc_id"), "key")

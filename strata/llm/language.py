@@ -11,14 +11,15 @@ from __future__ import annotations
 
 import functools
 import sys
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.rows import id_type, per_row
+from strata.llm.rows import bound_batches, id_type, per_row
 from strata.llm.words import mix
 
 BITS, LONGEST = 14, 4
@@ -193,3 +194,24 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
         f"doc_id {id_type(docs)}, held_out boolean, lang_pred string, score double, rejected boolean",
         make,
     )
+
+
+def accepted(docs: DataFrame, model: Model | None = None) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is not rejected (see ``identify``).
+
+    A table without anything to learn from is returned as it is.
+    """
+    model = model or fit(docs)
+    if not model.languages:
+        return docs
+    bound_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        predict = shared.value
+        for batch in batches:
+            kept = [not predict(text)[2] for text in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
