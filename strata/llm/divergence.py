@@ -103,7 +103,8 @@ def js_distance(left: Column, right: Column) -> Column:
     shares = F.zip_with(left, right, lambda p, q: F.struct((p / a).alias("p"), (q / b).alias("q")))
     parts = F.transform(shares, lambda s: (
         term(s.p, (s.p + s.q) / 2) + term(s.q, (s.p + s.q) / 2)) / 2)
-    return F.sqrt(F.greatest(F.lit(0.0), total(parts)))
+    distance = F.sqrt(F.greatest(F.lit(0.0), total(parts)))
+    return F.when(a.isNotNull() & b.isNotNull(), distance)
 
 
 def _sums(histogram: str, size: int) -> Column:
