@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 
 from strata.llm import words as W
 from strata.llm.components import components
-from strata.llm.rows import arrow_schema, bound_batches, id_type, per_row, save_and_read, to_batch
+from strata.llm.rows import (
+    arrow_schema, bound_batches, id_type, per_row, save_and_read, squeeze, to_batch, unsqueeze,
+)
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -198,8 +200,8 @@ def _within(sizes: np.ndarray) -> np.ndarray:
 
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """a, b (ids) of the pairs (x, y: set keys) that really are similar."""
-    left = texts.select(F.col("key").alias("x"), F.col("id").alias("a"), F.col("text").alias("s"))
-    right = texts.select(F.col("key").alias("y"), F.col("id").alias("b"), F.col("text").alias("t"))
+    left = texts.select(F.col("key").alias("x"), F.col("id").alias("a"), F.col("squeezed").alias("s"))
+    right = texts.select(F.col("key").alias("y"), F.col("id").alias("b"), F.col("squeezed").alias("t"))
 
     def make():
         last: list = [None, None]
@@ -207,8 +209,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
         def one(row: tuple) -> Iterable[tuple]:
             a, b, s, t = row
             if last[0] != a:
-                last[:] = [a, shingles(s, size)]
-            if a != b and similar(last[1], shingles(t, size), percent):
+                last[:] = [a, shingles(unsqueeze(s), size)]
+            if a != b and similar(last[1], shingles(unsqueeze(t), size), percent):
                 yield a, b
 
         return one
@@ -300,21 +302,18 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
 
 def _texts(docs: DataFrame, classes: DataFrame, keys: DataFrame, size: int) -> DataFrame:
-    """key, id, text: one text for each set that is a candidate."""
+    """key, id, squeezed: one text for each set that is a candidate."""
+    kind = id_type(docs)
     wanted = classes.join(keys, "key").select(F.col("id").alias("doc_id"), "key")
-    found = docs.join(wanted, "doc_id")
-
-    def make():
-        def one(row: tuple) -> Iterable[tuple]:
-            # a doc_id may come with other texts
-            if set_key(shingles(row[2], size))[0] == row[0]:
-                yield row[0], row[1], row[2]
 
-        return one
+    def small():
+        return lambda row: [(row[0], set_key(shingles(row[1], size))[0], squeeze(row[1]))]
 
-    kind = id_type(docs)
-    rows = per_row(found, ["key", "doc_id", "text"], f"key long, id {kind}, text binary", make)
-    return save_and_read(rows, "texts").dropDuplicates(["key", "id"])
+    # a doc_id may come with several texts
+    moved = per_row(docs.where("text is not null"), ["doc_id", "text"],
+                    f"doc_id {kind}, key long, squeezed binary", small)
+    found = moved.join(wanted, ["doc_id", "key"]).groupBy("key", "doc_id").agg(F.first("squeezed").alias("squeezed"))
+    return save_and_read(found.withColumnRenamed("doc_id", "id"), "texts")
 
 
 def _open_pairs(lists: DataFrame, classes: DataFrame, found: DataFrame, near, done: DataFrame) -> DataFrame:
