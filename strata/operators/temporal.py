@@ -101,6 +101,12 @@ def align(
     return found.drop("__at")
 
 
+def _never(flag: str, versions: Intervals) -> Column:
+    """True, or an error where versions of a key overlap."""
+    told = F.raise_error(F.lit(f"versions of {', '.join(versions.keys)} overlap"))
+    return F.when(F.col(flag), told.cast("boolean")).otherwise(True)
+
+
 def align_latest(
     sliced: DataFrame,
     versions: Intervals,
@@ -109,7 +115,7 @@ def align_latest(
     end: str = "slice_end",
 ) -> DataFrame:
     """Like :func:`align` for versions that do not overlap within a key: one linear
-    pass over slices and versions in date order, no pairs."""
+    pass over slices and versions in date order, no pairs. Overlapping versions fail."""
     keys = list(versions.keys)
     rows = versions.rows().filter(F.col(versions.start) < F.col(versions.end))
     held = F.struct(F.col(versions.end).alias("__term"), *[F.col(c) for c in columns])
@@ -120,6 +126,12 @@ def align_latest(
     both = asked.unionByName(known, allowMissingColumns=True)
     both = both.withColumn("__pos", F.struct("__at", "__slice"))
     found = nearest(both, keys, ["__pos"], F.col("__held"), "__now", inclusive=True)
+    above = Window.partitionBy(*keys).orderBy("__pos").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.last("__held.__term", ignorenulls=True).over(above)
+    found = found.withColumn("__clash", (F.col("__slice") == 0) & (earlier > F.col("__at")))
+    # seen from the slices: the optimiser knows that only these are kept
+    so_far = above.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = found.withColumn("__clash", F.max("__clash").over(so_far)).filter(_never("__clash", versions))
     inside = (F.col("__slice") == 1) & (F.col(end) <= F.col("__now.__term"))
     return found.filter(inside).select(
         *sliced.columns, *[F.col(f"__now.{c}").alias(c) for c in columns]
@@ -134,8 +146,8 @@ def timeline(
     """Slice and align in one pass, for tables whose versions of a key never overlap.
 
     Equal to :func:`slices` followed by :func:`align` for each table, with a single
-    shuffle by key. Such versions start on distinct days, so a key brings at most two
-    rows per table and calendar day. A version without length contains no slice and
+    shuffle by key. Versions that overlap within a key fail the query. Versions that do
+    not start on distinct days, so a key brings at most two rows per table and calendar day. A version without length contains no slice and
     its date is a boundary of its neighbours, so it is left out.
     """
     keys = list(tables[0][0].keys)
@@ -153,12 +165,21 @@ def timeline(
     order = Window.partitionBy(*keys).orderBy(start)
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     current = [F.last(f"__held{i}", ignorenulls=True).over(so_far) for i in range(len(tables))]
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    clashes = []
+    for i in range(len(tables)):
+        held = F.last(f"__held{i}", ignorenulls=True).over(earlier)
+        opens = F.col(f"__held{i}").isNotNull()
+        clashes.append(F.coalesce(opens & (held["__term"] > F.col(start)), F.lit(False)))
     swept = points.select(
         *keys,
         start,
         F.lead(start).over(order).alias(end),
         *[c.alias(f"__now{i}") for i, c in enumerate(current)],
+        *[c.alias(f"__clash{i}") for i, c in enumerate(clashes)],
     )
+    for i, (versions, _) in enumerate(tables):
+        swept = swept.filter(_never(f"__clash{i}", versions))
     # the last mark of a day has seen all marks of that day
     swept = swept.filter(F.col(end) > F.col(start))
     for i in range(len(tables)):

@@ -140,7 +140,10 @@ def run_requests(scenarios: DataFrame, run_date: Column) -> DataFrame:
         "file_format": F.col("scenario_input_format"),
     }
     params = F.struct(*[c.alias(n) for n, c in text.items()])
-    name = F.concat_ws("/", "scenario_input_source_system", "scenario_input_target_table")
+    # every column of an input takes part, so two dates or two paths of one source differ
+    name = F.concat_ws("/", *[F.coalesce(c, F.lit("")) for c in (
+        text["source_system"], text["target_table"], text["business_date"], text["source_details"],
+        text["file_format"])])
     return scenarios.groupBy("dimension_table", "scenario_type").agg(
         F.map_from_entries(F.sort_array(F.collect_set(F.struct(name, params)))).alias("source_params")
     ).select(

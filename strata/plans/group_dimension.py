@@ -300,16 +300,29 @@ def gold(
     mode: str = "state",
     county_as_country: bool = False,
     require_counts: bool = True,
+    by_system: bool = True,
+    only: DataFrame | None = None,
+    with_deleted: bool = True,
 ) -> DataFrame:
     """Closed-day timeline of every group: entity, history and employee counts combined.
 
-    Deleted rows take part, sources are matched by key alone, and the published system
-    code is that of the first system. ``county_as_country`` publishes the county as
-    the country. Count types are parallel timelines of one group. Without
-    ``require_counts`` slices without an employee count stay, as for a source that
-    sends none.
+    Every source system has its own timeline of a key. Without ``by_system`` sources are
+    matched by key alone and the published system code is that of the first system.
+    ``only`` lists the Group_Source_Key values to build (all without it), ``with_deleted``
+    lets deleted rows take part. ``county_as_country`` publishes the county as the
+    country. Count types are parallel timelines of one group. Without ``require_counts``
+    slices without an employee count stay, as for a source that sends none.
     """
-    key = ["Group_Source_Key"]
+    key = ["Group_Source_Key", "Source_System_Code"] if by_system else ["Group_Source_Key"]
+
+    def chosen(df: DataFrame) -> DataFrame:
+        if only is not None:
+            df = df.join(only.select("Group_Source_Key").distinct(), "Group_Source_Key", "left_semi")
+        if not with_deleted:
+            df = df.filter(~F.col("Row_Is_Deleted_Ind").eqNullSafe(F.lit("Y")))
+        return df
+
+    group, history, count = map(chosen, (group, history, count))
     hist = Intervals(history, key, "Row_Effective_Date", "Row_Term_Date")
     counts = Intervals(count, key, "Row_Effective_Date", "Row_Term_Date", "Employee_Count <> 0")
     rows = slices([counts, hist]).join(group.select(*key, *GROUP_ATTRIBUTES), key)
@@ -321,7 +334,7 @@ def gold(
     country = F.col("Address_County") if county_as_country else F.col("Country")
     rows = rows.withColumns(
         {
-            "Source_System_Code": F.lit(SYSTEM_A),
+            "Source_System_Code": F.col("Source_System_Code") if by_system else F.lit(SYSTEM_A),
             "Country": country,
             "Count_as_of_Year": F.year("slice_start"),
             "Count_Type": label(F.col("Count_Type"), COUNT_TYPES),
@@ -331,6 +344,7 @@ def gold(
         "Source_System_Code", *GROUP_ATTRIBUTES, *HISTORY_ATTRIBUTES, "Employee_Count",
         "Count_as_of_Year",
     ]
+    attributes = [a for a in attributes if a not in key]
     line = [*key, "Count_Type"]
     if mode == "state":
         # islands and trimming both work within a timeline: move the wide rows once
@@ -342,4 +356,5 @@ def gold(
     renamed = {"slice_start": "Row_Effective_Date", "slice_end": "Row_Term_Date"}
     first = ["Group_Source_Key", "Source_System_Code", "Row_Effective_Date", "Row_Term_Date"]
     rest = [a for a in attributes if a not in first]
+    # islands without systems put the code among the attributes, else it is part of the key
     return closed.withColumnsRenamed(renamed).select(*first, *rest, "Count_Type")

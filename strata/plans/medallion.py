@@ -15,13 +15,13 @@ from strata.operators.transform import apply_transforms
 from strata.plans import config as meta
 from strata.sources import landing
 from strata.sources.contracts import required_columns
-from strata.streaming.flows import read_batches, read_folder, refine
+from strata.streaming.flows import MAX_FILES, read_batches, read_folder, refine
 
 
 @dataclass(frozen=True)
 class Tables:
-    """Folders of one environment. A full refresh of silver takes the next generation,
-    which starts with empty tables and checkpoints."""
+    """Folders of one environment. A full refresh of silver takes the next generation
+    (:func:`full_refresh`), which starts with empty tables and checkpoints."""
 
     root: str
     generation: int = 0
@@ -36,6 +36,30 @@ class Tables:
         return f"{self.root}/published/{name.lower()}"
 
 
+def _generations(spark: SparkSession, root: str) -> list[int]:
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/silver-*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return sorted(int(f.getPath().getName().removeprefix("silver-")) for f in found or [])
+
+
+def newest(spark: SparkSession, root: str) -> Tables:
+    """The tables of the generation in use."""
+    return Tables(root, max(_generations(spark, root), default=0))
+
+
+def full_refresh(
+    spark: SparkSession, root: str, dimension: Dimension, runtime: DataFrame, processing_time: int, test_mode: str = ""
+) -> Tables:
+    """Load landing anew and start a silver generation of its own from it, in one run.
+
+    The generation before stays readable until the new one is there.
+    """
+    tables = Tables(root, max(_generations(spark, root), default=-1) + 1)
+    load_landing(spark, tables, dimension, runtime, refresh="full_refresh", test_mode=test_mode)
+    refresh_silver(spark, tables, dimension, runtime, processing_time, test_mode)
+    return tables
+
+
 @dataclass(frozen=True)
 class Dimension:
     """Everything that is specific to one dimension."""
@@ -147,11 +171,14 @@ def refresh_silver(
     runtime: DataFrame,
     processing_time: int,
     test_mode: str = "",
-    max_files: int | None = None,
+    max_files: int = MAX_FILES,
 ) -> list[str]:
     """Stream what landing has gained through typing, rules, transforms and mapping.
 
-    Returns the target tables that were fed.
+    Each source schema of an input has its own contract, and so its own stream: it takes
+    the rows of that schema, remembers its own place, and writes to its own folders, so
+    streams of one input never write over each other. Returns the target tables that were
+    fed.
     """
     _, inputs = requested_inputs(dimension, runtime, test_mode)
     mappings = dimension.mappings()
@@ -170,14 +197,16 @@ def refresh_silver(
             def onward(df: DataFrame, changes=changes, mapping=mapping) -> DataFrame:
                 return map_entity(apply_transforms(df, changes), mapping)
 
+            schema = item.schema.replace("/", "")
+            arrived = read_folder(spark, place, landing.read_table(spark, place).schema, max_files)
             refine(
-                read_folder(spark, place, landing.read_table(spark, place).schema, max_files),
-                tables.silver("checkpoint", f"{table}-{item.schema.replace('/', '')}"),
+                arrived.filter(F.col("source_schema").eqNullSafe(F.lit(item.schema))),
+                tables.silver("checkpoint", f"{table}-{target}-{schema}"),
                 typed,
                 rules,
                 onward,
-                f"{tables.silver('mapped', target)}/input={table}",
-                f"{tables.silver('audit', 'dq')}/input={table}",
+                f"{tables.silver('mapped', target)}/input={table}/of_schema={schema}",
+                f"{tables.silver('audit', 'dq')}/input={table}/of_target={target}/of_schema={schema}",
                 (dimension.name, target, table),
             )
             fed.append(target)
@@ -189,7 +218,7 @@ def entity(spark: SparkSession, tables: Tables, dimension: Dimension, target: st
     settings = meta.cdc_settings(dimension.cdc, target)
     keys = [k.strip() for k in settings["key_attr"].split(",")]
     exclude = settings["exclude_columns"] or []
-    changes = read_batches(spark, tables.silver("mapped", target)).drop("input")
+    changes = read_batches(spark, tables.silver("mapped", target)).drop("input", "of_schema")
     if settings["scd_type"] == "2":
         versions = scd2(changes, keys, settings["sequence_col"], exclude=exclude)
         return present_scd2(versions)
@@ -197,7 +226,7 @@ def entity(spark: SparkSession, tables: Tables, dimension: Dimension, target: st
 
 
 def audit(spark: SparkSession, tables: Tables) -> DataFrame:
-    return read_batches(spark, tables.silver("audit", "dq")).drop("input")
+    return read_batches(spark, tables.silver("audit", "dq")).drop("input", "of_target", "of_schema")
 
 
 def publish(tables: Tables, name: str, df: DataFrame, run: int) -> None:
@@ -208,5 +237,17 @@ def publish(tables: Tables, name: str, df: DataFrame, run: int) -> None:
     df.write.mode("overwrite").parquet(f"{tables.published(name)}/run={run}")
 
 
-def published(spark: SparkSession, tables: Tables, name: str, run: int) -> DataFrame:
-    return spark.read.parquet(f"{tables.published(name)}/run={run}")
+def complete_runs(spark: SparkSession, tables: Tables, name: str) -> list[int]:
+    """Numbers of the runs whose files are all there, as the commit mark says."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{tables.published(name)}/run=*/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return sorted(int(f.getPath().getParent().getName().removeprefix("run=")) for f in found or [])
+
+
+def published(spark: SparkSession, tables: Tables, name: str, run: int | None = None) -> DataFrame:
+    """A complete run of a published table, without a number the latest; half-written
+    runs are never read."""
+    runs = complete_runs(spark, tables, name)
+    if not runs or run is not None and run not in runs:
+        raise LookupError(f"{name}: run {'any' if run is None else run} is not published")
+    return spark.read.parquet(f"{tables.published(name)}/run={runs[-1] if run is None else run}")

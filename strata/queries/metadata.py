@@ -43,7 +43,8 @@ def run_request(spark: SparkSession, folder: str) -> DataFrame:
 
 RUN_REQUEST = """
 SELECT c_mktsegment AS dimension_table, DATE '2025-04-08' AS run_date, o_orderpriority AS scenario,
-       n_name || '/DF_Order' AS input, CAST(MAX(CAST(o_orderdate AS DATE)) AS VARCHAR) AS business_date,
+       n_name || '/DF_Order/' || CAST(MAX(CAST(o_orderdate AS DATE)) AS VARCHAR) || '//parquet' AS input,
+       CAST(MAX(CAST(o_orderdate AS DATE)) AS VARCHAR) AS business_date,
        n_name AS source_system, 'DF_Order' AS target_table, '' AS source_details, 'parquet' AS file_format
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 GROUP BY 1, 3, n_name

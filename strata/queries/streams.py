@@ -13,20 +13,19 @@ from strata.queries.tables import table
 from strata.session import new_folder
 from strata.streaming import flows
 
-PIECES = 4
+#: files of a batch, whatever the size of the feed
+FILES = 512
 
 
 def _landed(spark: SparkSession, rows: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """Write a feed by business date and open it as a stream of a few batches.
+    """Write a feed by business date and open it as a stream of batches of fixed size.
 
     Files of all dates come in no particular order, so later dates may arrive first.
     """
     place = new_folder(spark, name)
     rows.hint("rebalance", F.col("business_date")).write.partitionBy("business_date").parquet(place)
     landed = spark.read.parquet(place)
-    files = len(landed.inputFiles())
-    stream = flows.read_folder(spark, place, landed.schema, max(1, -(-files // PIECES)))
-    return stream, place
+    return flows.read_folder(spark, place, landed.schema, FILES), place
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
@@ -53,10 +52,14 @@ def _typed(df: DataFrame) -> DataFrame:
 
 
 def stream_bronze(spark: SparkSession, folder: str) -> DataFrame:
-    """Landing to bronze, stopped after the first run and taken up again by a second."""
-    stream, place = _landed(spark, _events(spark, folder), "feed")
-    for _ in range(2):
-        flows.flow(stream, f"{place}-state", f"{place}-bronze", _typed)
+    """Landing to bronze in two runs; the first halves of all months arrive between them, late."""
+    events = _events(spark, folder)
+    late = F.dayofmonth(F.to_date("business_date")) <= 15
+    stream, place = _landed(spark, events.filter(~late), "feed")
+    flows.flow(stream, f"{place}-state", f"{place}-bronze", _typed)
+    arriving = events.filter(late).hint("rebalance", F.col("business_date"))
+    arriving.write.mode("append").partitionBy("business_date").parquet(place)
+    flows.flow(stream, f"{place}-state", f"{place}-bronze", _typed)
     rows = flows.read_batches(spark, f"{place}-bronze")
     shown = F.date_format("loadtimestamp", "yyyy-MM-dd HH:mm:ss")
     return rows.select("event_id", "user_id", "business_date", "processing_time", shown.alias("loaded"))

@@ -90,8 +90,9 @@ def write_lines(lines: DataFrame, path: str) -> None:
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines with tag, fields and the parent line they stand under.
 
-    A line belongs to the last parent line above it. The position is (file, split,
-    line), so the search runs per split and crosses splits on one row each.
+    A line belongs to the last parent line above it. The position is (number of the part
+    file, file, split, line), so the search runs per split and crosses splits on one row
+    each, and blocks of part files on one row each.
     """
     raw = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
@@ -99,12 +100,16 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("at"),
         F.col("value").alias("line"),
     )
+    # by number: as text, part 100000 would come before part 99999
+    number = F.regexp_extract("file", r"part-(\d{1,18})[^/]*$", 1)
+    raw = raw.withColumn("part", F.when(number != "", number.cast("long")))
+    raw = raw.withColumn("parts", F.shiftright("part", 10))
     fields = F.split("line", r"\|")
     lines = raw.filter(F.trim("line") != "").withColumns(
         {"tag": fields[0], "fields": F.slice(fields, F.lit(2), F.size(fields) - 1), "block": F.shiftright("at", BLOCK_BITS)}
     )
     own = F.when(F.col("tag") == PARENT, F.col("fields")[0])
-    placed = nearest(lines, [], ["file", "split", "block", "at"], own, "under", inclusive=True)
+    placed = nearest(lines, [], ["parts", "part", "file", "split", "block", "at"], own, "under", inclusive=True)
     inside = F.col("tag").isin(PARENT, CHILD, COVER)
     return placed.select("tag", "fields", F.when(inside, F.col("under")).alias("parent"))
 
@@ -135,17 +140,45 @@ def create_statement(name: str, schema: T.StructType) -> str:
     return f"CREATE TABLE IF NOT EXISTS {name} ({columns});"
 
 
-def value_rows(df: DataFrame, limit: int | None = None, order: Sequence[str] = ()) -> DataFrame:
-    """One SQL value list per row: NULL, quoted text, TRUE/FALSE, else plain text."""
+def value_rows(
+    df: DataFrame, limit: int | None = None, order: Sequence[str] = (), escape_backslashes: bool = False
+) -> DataFrame:
+    """One SQL value list per row; read back, it gives the same values.
+
+    Dates, timestamps and binary values are typed literals. Backslashes are doubled only
+    with ``escape_backslashes``, for readers that take them as escapes (Spark does, ANSI
+    does not). A column whose type has no literal is refused.
+    """
+
+    def quoted(text: Column) -> Column:
+        text = F.replace(text, F.lit("'"), F.lit("''"))
+        if escape_backslashes:
+            text = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+        return F.concat(F.lit("'"), text, F.lit("'"))
 
     def literal(field: T.StructField) -> Column:
-        column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.StringType):
-            text = F.concat(F.lit("'"), F.replace(column, F.lit("'"), F.lit("''")), F.lit("'"))
-        elif isinstance(field.dataType, T.BooleanType):
+        column, kind = F.col(f"`{field.name}`"), field.dataType
+        if isinstance(kind, T.StringType):
+            text = quoted(column)
+        elif isinstance(kind, T.BooleanType):
             text = F.when(column, "TRUE").otherwise("FALSE")
-        else:
+        elif isinstance(kind, T.DateType):
+            text = F.concat(F.lit("DATE "), quoted(column.cast("string")))
+        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            shown = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+            text = F.concat(F.lit("TIMESTAMP "), quoted(shown))
+        elif isinstance(kind, T.BinaryType):
+            text = F.concat(F.lit("X'"), F.hex(column), F.lit("'"))
+        elif isinstance(kind, (T.FloatType, T.DoubleType)):
+            # NaN and infinities are no numerals
+            name = "DOUBLE" if isinstance(kind, T.DoubleType) else "FLOAT"
+            plain = column.cast("string")
+            odd = F.isnan(column) | (F.abs(column) == float("inf"))
+            text = F.when(odd, F.concat(F.lit("CAST("), quoted(plain), F.lit(f" AS {name})"))).otherwise(plain)
+        elif isinstance(kind, T.NumericType):
             text = column.cast("string")
+        else:
+            raise TypeError(f"{field.name}: {kind.simpleString()} has no SQL literal")
         return F.when(column.isNull(), "NULL").otherwise(text)
 
     chosen = df.orderBy(*order) if order else df
@@ -154,8 +187,10 @@ def value_rows(df: DataFrame, limit: int | None = None, order: Sequence[str] = (
     return chosen.select(F.concat(F.lit("("), values, F.lit(")")).alias("value_row"))
 
 
-def insert_statements(df: DataFrame, name: str, limit: int | None = None, order: Sequence[str] = ()) -> DataFrame:
+def insert_statements(
+    df: DataFrame, name: str, limit: int | None = None, order: Sequence[str] = (), escape_backslashes: bool = False
+) -> DataFrame:
     """One INSERT per row, so that a large table is written by many tasks."""
     columns = ", ".join(f"`{c}`" for c in df.columns)
     head = F.lit(f"INSERT INTO {name} ({columns}) VALUES ")
-    return value_rows(df, limit, order).select(F.concat(head, "value_row", F.lit(";")).alias("value"))
+    return value_rows(df, limit, order, escape_backslashes).select(F.concat(head, "value_row", F.lit(";")).alias("value"))

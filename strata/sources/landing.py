@@ -18,6 +18,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from strata.operators.cdc import DELETE, OPERATION, SNAPSHOT_ROW, snapshot_deletes
 
 BUSINESS_DATE = "business_date"
+#: number of the load that brought a row; later loads have larger ones
+LOAD = "load_sequence"
 NO_SOURCE = "Not Used"
 
 
@@ -116,6 +118,23 @@ def replace_dates(df: DataFrame, table: str) -> None:
     )
 
 
+def delete_date(spark: SparkSession, table: str, day: date | str) -> None:
+    """Remove a business date from a landing table; nothing happens if it is not there."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{table}/{BUSINESS_DATE}={day}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def correct_file(df: DataFrame, table: str, run_date: date | str) -> None:
+    """The corrected file of a run: its dates are replaced, and the run's own date holds
+    what the file has for it, also nothing at all."""
+    spark = df.sparkSession
+    replace_dates(df, table)
+    # what the corrected file has for the run's date has replaced the old rows just now
+    if df.filter(F.col(BUSINESS_DATE) == F.lit(run_date).cast("date")).isEmpty():
+        delete_date(spark, table, run_date)
+
+
 def correct_rows(spark: SparkSession, table: str, corrected: DataFrame, keys: Sequence[str]) -> None:
     """Replace single rows: the old rows of the corrected keys go, the new ones come.
 
@@ -175,18 +194,25 @@ def load(
     """Load stamped rows of one input into its landing table.
 
     Deletes are computed from the previous state unless the run loads history or the
-    source sends its own operation codes. Delete rows carry the run's date.
+    source sends its own operation codes. Delete rows carry the run's date. Every row
+    carries the number of its load, which settles what is the last word on a key that
+    came and went within one date.
     """
+    before = read_table_if_any(spark, table)
+    known = before is not None and LOAD in before.columns
+    number = ((before.agg(F.max(LOAD)).first()[0] if known else None) or 0) + 1
     if compute_cdc and scenario != "historical_run":
         if not keys:
             raise ValueError(f"deletes of {table} need the key columns of its snapshots")
-        rows = snapshot_deletes(rows, read_table_if_any(spark, table), keys)
+        order = [BUSINESS_DATE, LOAD] if known else [BUSINESS_DATE]
+        rows = snapshot_deletes(rows, before, keys, order)
         deleted = F.col(f"`{OPERATION}`") == DELETE
         stamped = F.when(deleted, F.lit(run_date).cast("date")).otherwise(F.col(BUSINESS_DATE))
         rows = rows.withColumn(BUSINESS_DATE, stamped)
+    rows = rows.withColumn(LOAD, F.lit(number).cast("long"))
     if refresh == "full_refresh":
         overwrite(rows, table)
     elif correction == "file_correction":
-        replace_dates(rows, table)
+        correct_file(rows, table, run_date)
     else:
         append(rows, table)

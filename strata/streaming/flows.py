@@ -19,21 +19,40 @@ from strata.operators.quality import Rule, assess, audit_records, check_fail_rul
 from strata.operators.scd import scd1, scd2
 
 BATCH, BUCKET = "batch_id", "bucket"
+#: files of one micro-batch, unless a caller says otherwise
+MAX_FILES = 1000
 Step = Callable[[DataFrame], DataFrame]
 
 
 def read_folder(
-    spark: SparkSession, folder: str, schema: StructType, max_files: int | None = None
+    spark: SparkSession, folder: str, schema: StructType, max_files: int = MAX_FILES
 ) -> DataFrame:
-    """New files of a folder, each seen once.
+    """New files of a folder, each seen once, at most ``max_files`` in a batch.
 
-    A reloaded date arrives as new files; files that have gone, even from a batch that
-    failed before, are passed over.
+    A reloaded date arrives as new files, so files of a batch that failed before may have
+    gone; :func:`check_files` tells them from files that are lost.
     """
     reader = spark.readStream.schema(schema).option("ignoreMissingFiles", "true")
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(folder)
+    return reader.option("maxFilesPerTrigger", max_files).parquet(folder)
+
+
+def check_files(df: DataFrame) -> None:
+    """Fail if a file of the batch has gone and nothing has come in its place.
+
+    The names are those of one batch, so there are at most as many as a batch takes.
+    """
+    spark = df.sparkSession
+    path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    names = set(df.inputFiles())
+    for name in sorted(names):
+        file = path(name)
+        system = file.getFileSystem(conf)
+        if system.exists(file):
+            continue
+        folder = file.getParent()
+        there = [str(f.getPath()) for f in system.listStatus(folder)] if system.exists(folder) else []
+        if not any(x.endswith(".parquet") for x in there):
+            raise FileNotFoundError(f"{name} has gone without a replacement")
 
 
 def drain(
@@ -89,6 +108,7 @@ def refine(
     """
 
     def write(df: DataFrame, batch: int) -> None:
+        check_files(df)
         kept = typed(df).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             check_fail_rules(kept, rules)

@@ -53,6 +53,7 @@ def test_run_request_round_trip(spark):
     rows = [
         ("D_GROUP", "3", "", "incremental_run", "incremental_refresh", [], "Facets", "DF_GROUP", date(2025, 4, 8), "", "", None),
         ("D_GROUP", "3", "", "incremental_run", "incremental_refresh", [], "Facets", "DF_GROUP_COUNT", date(2025, 4, 22), "", "", None),
+        ("D_GROUP", "3", "", "incremental_run", "incremental_refresh", [], "Facets", "DF_GROUP_COUNT", date(2025, 4, 23), "", "", None),
     ]
     scenarios = spark.createDataFrame(rows, meta.TEST_SCENARIOS)
     request = meta.run_requests(scenarios, F.lit(datetime(2025, 5, 1)))
@@ -61,6 +62,7 @@ def test_run_request_round_trip(spark):
     assert sorted((r.scenario, r.target_table, r.business_date) for r in inputs.collect()) == [
         ("incremental_run", "DF_GROUP", "2025-04-08"),
         ("incremental_run", "DF_GROUP_COUNT", "2025-04-22"),
+        ("incremental_run", "DF_GROUP_COUNT", "2025-04-23"),
     ]
 
 

@@ -1,7 +1,11 @@
+from datetime import date, datetime
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
 from strata.sources import extract
+from strata.sources.extract import CHILD, PARENT, read_lines, value_rows
 
 
 def small(spark):
@@ -58,3 +62,26 @@ def test_sql_values(spark, limit, count):
     )
     statement = extract.insert_statements(df.filter(F.col("k") == 1), "t").first().value
     assert statement == "INSERT INTO t (`k`, `s`, `b`) VALUES (1, 'it''s', TRUE);"
+
+
+def test_literals_give_the_same_values_back(spark):
+    kinds = "t string, d date, ts timestamp, b binary, f double, n decimal(10,2), y boolean, i long"
+    rows = [
+        ("it's a \\ back\\n", date(2025, 4, 8), datetime(2025, 4, 8, 1, 2, 3, 456789), b"\x00\xff'", 1.5, Decimal("1.20"), True, 7),
+        (None,) * 8,
+        ("", date(1, 1, 1), datetime(1970, 1, 1), b"", float("inf"), Decimal("-0.01"), False, -1),
+    ]
+    df = spark.createDataFrame(rows, kinds)
+    values = [r.value_row for r in value_rows(df, escape_backslashes=True).collect()]
+    back = spark.sql(f"SELECT * FROM VALUES {', '.join(values)} AS x(t, d, ts, b, f, n, y, i)")
+    again = [tuple(bytes(v) if isinstance(v, bytearray) else v for v in r) for r in back.collect()]
+    assert sorted(again, key=str) == sorted(rows, key=str)
+    with pytest.raises(TypeError, match="has no SQL literal"):
+        value_rows(spark.sql("SELECT array(1) AS a"))
+
+
+def test_lines_are_in_the_order_of_part_numbers(spark, tmp_path):
+    (tmp_path / "part-99999-x.txt").write_text(f"{PARENT}|A\n")
+    (tmp_path / "part-100000-x.txt").write_text(f"{CHILD}|1\n")
+    found = {r.tag: r.parent for r in read_lines(spark, str(tmp_path)).collect()}
+    assert found == {PARENT: "A", CHILD: "A"}

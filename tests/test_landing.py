@@ -89,6 +89,43 @@ def test_load_computes_deletes_for_snapshots(spark, tmp_path):
     assert {r.k for r in landing.read_table(spark, place).filter("`__$operation` = '5'").collect()} == {9}
 
 
+def test_a_key_that_comes_and_goes_on_one_date(spark, tmp_path):
+    place = str(tmp_path / "t")
+
+    def deliver(day, *keys, **options):
+        rows = landing.stamp(spark.createDataFrame([(k, 1) for k in keys], "k int, n int"), "dbo", day)
+        landing.load(spark, rows, place, ["k"], "incremental_run", day, compute_cdc=True, **options)
+
+    many = range(200)
+    deliver("2025-04-08", 1000, *many)
+    deliver("2025-04-08", 1000)  # all but one are gone, on the same date
+    deliver("2025-04-09", 1000)
+    deliver("2025-04-09", 1000, *range(50))  # some come back, on the same date
+    deliver("2025-04-10", 1000)
+    rows = landing.read_table(spark, place).filter("k < 1000").groupBy("k", "`__$operation`").count().collect()
+    codes = {(r.k, r["__$operation"]): r["count"] for r in rows}
+    for k in many:
+        assert codes[k, "1"] == (2 if k < 50 else 1)
+
+
+def test_a_corrected_file_replaces_its_date_even_when_it_is_empty(spark, tmp_path):
+    place = str(tmp_path / "t")
+
+    def stamped(day, *keys):
+        return landing.stamp(spark.createDataFrame([(k, 1) for k in keys], "k int, n int"), "dbo", day)
+
+    def load(rows, day, **options):
+        landing.load(spark, rows, place, ["k"], "apply_correction", day, **options)
+
+    load(stamped("2025-04-08", 1, 2), "2025-04-08")
+    load(stamped("2025-04-09", 3), "2025-04-09")
+    load(stamped("2025-04-08", 5), "2025-04-08", correction="file_correction")
+    shown = lambda: sorted((str(r.business_date), r.k) for r in landing.read_table(spark, place).collect())
+    assert shown() == [("2025-04-08", 5), ("2025-04-09", 3)]
+    load(stamped("2025-04-08"), "2025-04-08", correction="file_correction")
+    assert shown() == [("2025-04-09", 3)]
+
+
 def test_dated_folders_are_pruned(spark, tmp_path):
     for day in ("20250408", "20250409", "20250410"):
         spark.createDataFrame([(day,)], "d string").write.parquet(f"{tmp_path}/BusinessStartDate={day}/orders")

@@ -13,7 +13,9 @@ from strata.plans.medallion import (
     Tables,
     audit,
     entity,
+    full_refresh,
     load_landing,
+    newest,
     publish,
     published,
     refresh_silver,
@@ -251,3 +253,48 @@ def test_full_refresh_starts_from_landing_again(world, spark):
     again = entity(spark, fresh, world.dimension, "DF_Group_Count")
     assert again.count() == world.entity("DF_Group_Count").count()
     assert {r.processing_time for r in again.collect()} == {99}
+
+
+def test_published_runs_are_complete(world, spark):
+    import os
+
+    publish(world.tables, "half", spark.range(3), 1)
+    publish(world.tables, "half", spark.range(4), 2)
+    assert published(spark, world.tables, "half").count() == 4
+    os.remove(f"{world.tables.published('half')}/run=2/_SUCCESS")
+    assert published(spark, world.tables, "half").count() == 3
+    with pytest.raises(LookupError):
+        published(spark, world.tables, "half", 2)
+    with pytest.raises(LookupError):
+        published(spark, world.tables, "never")
+
+
+def test_schemas_of_one_input_do_not_write_over_each_other(spark, tmp_path_factory):
+    other = World(spark, str(tmp_path_factory.mktemp("schemas")))
+    place = f"{other.tables.root}/more"
+    table = dim.A_COUNT
+    for number, schema in enumerate(("dbo", "test", "dbo", "test", "dbo")):
+        rows = count_feed(spark, 10 * number, 10 * number + 10, 10)
+        landing.append(landing.stamp(rows, schema, f"2025-04-0{number + 1}"), other.tables.landing(table))
+        if number == 0:
+            continue
+        for mode in ("N", "Y"):  # the sources of schema dbo and test
+            runtime = other.request("historical_run", ("Facets", "DF_GROUP_COUNT", "1900-01-01", place))
+            refresh_silver(spark, other.tables, other.dimension, runtime, number, mode, max_files=1)
+    mapped = other.entity("DF_Group_Count")
+    # counts of nothing are quarantined
+    landed = landing.read_table(spark, other.tables.landing(table)).filter("GRGC_COUNT <> 0")
+    assert mapped.count() == landed.count() == 40
+
+
+def test_full_refresh_is_one_run(spark, tmp_path_factory):
+    other = World(spark, str(tmp_path_factory.mktemp("refresh")))
+    place = f"{other.tables.root}/counts"
+    request = other.request("historical_run", ("Facets", "DF_GROUP_COUNT", "1900-01-01", place))
+    for number, last in enumerate((30, 12)):
+        count_feed(spark, 0, last, 10).write.mode("overwrite").parquet(place)
+        tables = full_refresh(spark, other.tables.root, other.dimension, request, 7, "Y")
+        assert tables.generation == number and newest(spark, other.tables.root) == tables
+        assert entity(spark, tables, other.dimension, "DF_Group_Count").count() > 0
+    rows = landing.read_table(spark, tables.landing(dim.A_COUNT)).filter("GRGC_COUNT <> 0").count()
+    assert entity(spark, tables, other.dimension, "DF_Group_Count").count() == rows

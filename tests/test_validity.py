@@ -61,6 +61,16 @@ def test_align_with_overlaps_ancient_and_open_versions(spark):
         assert got(align(sliced, [(versions, ["v"])], years=years), "slice_start", "slice_end", "v") == want
 
 
+def test_overlapping_versions_are_refused(spark):
+    versions = intervals(spark, (m(1), m(4), "x"), (m(2), m(5), "y"))
+    twice = intervals(spark, (m(1), m(4), "x"), (m(1), m(5), "y"))
+    for wrong in (versions, twice):
+        with pytest.raises(Exception, match="versions of k overlap"):
+            timeline([(wrong, ["v"])]).collect()
+        with pytest.raises(Exception, match="versions of k overlap"):
+            align_latest(slices([wrong]), wrong, ["v"]).collect()
+
+
 def test_left_variant_keeps_slices_without_a_version(spark):
     states = intervals(spark, (m(1), m(3), "x"))
     counts = intervals(spark, (m(2), m(3), "1"), value="n")
