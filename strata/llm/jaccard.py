@@ -13,16 +13,18 @@ that no pair is missed.
 Signatures that several sets share give lists of candidates. Each list is first checked
 against one member; only where members are then still in different components are the
 remaining pairs of different components compared. Groups of copies settle in the first step
-and are never expanded into pairs.
+and are never expanded into pairs. Before the texts of a pair are fetched, a bit map of each
+set is compared: sets differ in at least as many elements as their maps differ in bits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm import words as W
@@ -35,6 +37,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: signatures that one task reads at once, on average
 BUCKET = 500_000
+#: 64-bit words of a set's bit map
+MAP = 16
 
 
 def shingles(text: bytes | None, size: int) -> np.ndarray:
@@ -58,6 +62,25 @@ def set_key(h: np.ndarray) -> tuple[int, int]:
     return int(one.astype(np.int64)), int(two.astype(np.int64))
 
 
+def bit_map(h: np.ndarray) -> list[int]:
+    """Bits that the elements of a set fall on."""
+    bits = np.zeros(64 * MAP, bool)
+    bits[(h % np.uint64(64 * MAP)).astype(np.int64)] = True
+    return np.packbits(bits).view(np.int64).tolist()
+
+
+def _plausible(a: str, b: str, percent: int) -> Column:
+    """Whether two sets, given as struct columns (n, bits), can be similar at all."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    differ = reduce(
+        lambda x, y: x + y,
+        (F.bit_count(F.col(f"{a}.bits")[i].bitwiseXOR(F.col(f"{b}.bits")[i])) for i in range(MAP)),
+    )
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (
+        (100 + percent) * differ <= (100 - percent) * (n + m)
+    )
+
+
 class Bands:
     """Size bands of a threshold, with the parts that each needs."""
 
@@ -107,7 +130,10 @@ class Bands:
 
 
 def _packed(docs: DataFrame, size: int, percent: int, buckets: int) -> DataFrame:
-    """bucket, found: signatures (48 bits) and set keys of many documents, packed."""
+    """bucket, found: signatures and set keys of many documents, packed.
+
+    A bucket is a range of signatures and keeps their last 48 bits.
+    """
     bound_batches(docs.sparkSession)
     ddl = "bucket long, found binary"
     target = arrow_schema(docs.sparkSession, ddl)
@@ -115,35 +141,34 @@ def _packed(docs: DataFrame, size: int, percent: int, buckets: int) -> DataFrame
     def pack(signs: list[np.ndarray], keys: list[int]) -> pa.RecordBatch:
         s = np.concatenate(signs)
         k = np.repeat(np.array(keys, np.int64), [len(x) for x in signs])
-        bucket = s % np.uint64(buckets)
-        order = np.lexsort((k, s, bucket))
-        s, k, bucket = s[order], k[order], bucket[order]
-        # copies of one set in this batch count once
-        new = np.ones(len(s), bool)
-        new[1:] = (s[1:] != s[:-1]) | (k[1:] != k[:-1])
-        s, k, bucket = s[new], k[new], bucket[new]
+        order = np.argsort(s)
+        s, k = s[order], k[order]
+        bucket = ((s >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)  # rises with s
         cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
         rows = []
         for low, high in zip(cuts, [*cuts[1:], len(s)]):
-            part = s[low:high] >> np.uint64(16)
+            part = s[low:high]
             rows.append((int(bucket[low]), b"".join([
-                (part >> np.uint64(16)).astype(np.uint32).tobytes(),
-                part.astype(np.uint16).tobytes(), k[low:high].tobytes()])))
+                part.astype(np.uint32).tobytes(), (part >> np.uint64(32)).astype(np.uint16).tobytes(),
+                k[low:high].tobytes()])))
         return to_batch(rows, target)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, signs, keys = Bands(percent), [], []
+        bands = Bands(percent)
+        held: dict[int, np.ndarray] = {}
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 h = shingles(text, size)
                 if len(h):
-                    signs.append(bands.signatures(h))
-                    keys.append(set_key(h)[0])
-                if sum(map(len, signs[-1:])) and len(keys) >= 4000:
-                    yield pack(signs, keys)
-                    signs, keys = [], []
-        if keys:
-            yield pack(signs, keys)
+                    key = set_key(h)[0]
+                    # copies of one set in this batch count once
+                    if key not in held:
+                        held[key] = bands.signatures(h)
+                if len(held) >= 4000:
+                    yield pack([*held.values()], [*held])
+                    held = {}
+        if held:
+            yield pack([*held.values()], [*held])
 
     return docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, ddl)
 
@@ -157,8 +182,8 @@ def _lists(packed: DataFrame) -> DataFrame:
         signs, keys = [], []
         for blob in blobs:
             n = len(blob) // 14
-            high = np.frombuffer(blob, np.uint32, n).astype(np.uint64)
-            signs.append((high << np.uint64(16)) | np.frombuffer(blob, np.uint16, n, 4 * n))
+            high = np.frombuffer(blob, np.uint16, n, 4 * n).astype(np.uint64)
+            signs.append((high << np.uint64(32)) | np.frombuffer(blob, np.uint32, n))
             keys.append(np.frombuffer(blob[6 * n :], np.int64))
         s, k = np.concatenate(signs), np.concatenate(keys)
         order = np.lexsort((k, s))
@@ -235,13 +260,12 @@ def similarity_components(docs: DataFrame, size: int = 5, percent: int = 80) ->
     def make():
         def one(row: tuple) -> Iterable[tuple]:
             h = shingles(row[1], size)
-            yield row[0], len(h), *set_key(h)
+            yield row[0], len(h), *set_key(h), bit_map(h)
 
         return one
 
-    sets = save_and_read(
-        per_row(docs, ["doc_id", "text"], f"doc_id {kind}, n_shingles long, key long, more long", make), "sets"
-    )
+    schema = f"doc_id {kind}, n_shingles long, key long, more long, bits array<long>"
+    sets = save_and_read(per_row(docs, ["doc_id", "text"], schema, make), "sets")
     linked = sets.where("n_shingles > 0 and doc_id is not null")
     same = ["key", "more", "n_shingles"]
     # a third of all rows may be one set: its copies meet in one minimum
@@ -252,26 +276,23 @@ def similarity_components(docs: DataFrame, size: int = 5, percent: int = 80) ->
     buckets = max(8, 4 * total * (100 - percent) // (percent + 100) // BUCKET)
     usable = docs.where("doc_id is not null and text is not null")
     lists = save_and_read(_lists(_packed(usable, size, percent, buckets)).distinct(), "lists")
-    sizes = classes.select(F.col("key").alias("member"), F.col("n_shingles").alias("n"))
-    lists = save_and_read(lists.join(sizes, "member"), "members")
-    texts = _texts(docs, classes, lists.select(F.col("member").alias("key")).distinct(), size)
-
-    def near(n: str, m: str):
-        return 100 * F.least(n, m) >= percent * F.greatest(n, m)
-
-    centers = lists.groupBy("list").agg(F.min(F.struct("member", "n")).alias("c"))
-    first = (
-        lists.join(centers, "list").where((F.col("c.member") != F.col("member")) & near("c.n", "n"))
-        .select(F.col("c.member").alias("x"), F.col("member").alias("y")).distinct()
-    )
+    members = lists.select(F.col("member").alias("key")).distinct()
+    maps = linked.join(members, "key").groupBy("key").agg(
+        F.first(F.struct(F.col("n_shingles").alias("n"), "bits")).alias("set")
+    )
+    maps = save_and_read(maps, "maps")
+    texts = _texts(docs, classes, members, size)
+    centers = lists.groupBy("list").agg(F.min("member").alias("x"))
+    first = lists.join(centers, "list").where("x <> member").select("x", F.col("member").alias("y")).distinct()
     first = save_and_read(first, "pairs")
-    links = save_and_read(_verified(first, texts, size, percent), "similar")
+    near = first.join(maps.toDF("x", "a"), "x").join(maps.toDF("y", "b"), "y").where(_plausible("a", "b", percent))
+    links = save_and_read(_verified(near.select("x", "y"), texts, size, percent), "similar")
     # rows of one doc_id with several sets
     owners = linked.join(classes, same).select("doc_id", "id").distinct()
     several = owners.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a <> z")
     several = owners.join(several, "doc_id").select("a", F.col("id").alias("b"))
     links = save_and_read(links.unionByName(several), "all_links")
-    rest = _open_pairs(lists, classes, components(links), near, first)
+    rest = _open_pairs(lists, classes, components(links), maps, first, percent)
     more = save_and_read(_verified(rest, texts, size, percent), "similar")
     if not more.isEmpty():
         links = links.unionByName(more)
@@ -307,24 +328,35 @@ def _texts(docs: DataFrame, classes: DataFrame, keys: DataFrame, size: int) -> D
     wanted = classes.join(keys, "key").select(F.col("id").alias("doc_id"), "key")
 
     def small():
-        return lambda row: [(row[0], set_key(shingles(row[1], size))[0], squeeze(row[1]))]
+        return lambda row: [(row[0], squeeze(row[1]))]
+
+    def checked():
+        # a doc_id may come with several texts
+        def one(row: tuple) -> Iterable[tuple]:
+            if set_key(shingles(unsqueeze(row[2]), size))[0] == row[0]:
+                yield row
+
+        return one
 
-    # a doc_id may come with several texts
-    moved = per_row(docs.where("text is not null"), ["doc_id", "text"],
-                    f"doc_id {kind}, key long, squeezed binary", small)
-    found = moved.join(wanted, ["doc_id", "key"]).groupBy("key", "doc_id").agg(F.first("squeezed").alias("squeezed"))
-    return save_and_read(found.withColumnRenamed("doc_id", "id"), "texts")
+    moved = per_row(docs.where("text is not null"), ["doc_id", "text"], f"doc_id {kind}, squeezed binary", small)
+    found = moved.join(wanted, "doc_id").groupBy("doc_id", "key", "squeezed").count()
+    rows = per_row(found, ["key", "doc_id", "squeezed"], f"key long, id {kind}, squeezed binary", checked)
+    return save_and_read(rows, "texts")
 
 
-def _open_pairs(lists: DataFrame, classes: DataFrame, found: DataFrame, near, done: DataFrame) -> DataFrame:
-    """Pairs of a list that are still in different components and have not been compared."""
+def _open_pairs(
+    lists: DataFrame, classes: DataFrame, found: DataFrame, maps: DataFrame, done: DataFrame, percent: int
+) -> DataFrame:
+    """Pairs of a list that are still in different components, can be similar, and have not
+    been compared."""
     placed = classes.join(found, classes["id"] == found["node"], "left").select(
         F.col("key").alias("member"), F.coalesce("component", "id").alias("component")
     )
     rows = lists.join(placed, "member")
     mixed = rows.groupBy("list").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p <> q")
-    rows = save_and_read(rows.join(mixed.select("list"), "list"), "open")
-    one = rows.select("list", F.col("member").alias("x"), F.col("n").alias("n1"), F.col("component").alias("c1"))
-    two = rows.select("list", F.col("member").alias("y"), F.col("n").alias("n2"), F.col("component").alias("c2"))
-    pairs = one.join(two, "list").where((F.col("x") < F.col("y")) & (F.col("c1") != F.col("c2")) & near("n1", "n2"))
+    rows = rows.join(mixed.select("list"), "list").join(maps.toDF("member", "set"), "member")
+    rows = save_and_read(rows, "open")
+    one = rows.select("list", F.col("member").alias("x"), F.col("set").alias("a"), F.col("component").alias("c1"))
+    two = rows.select("list", F.col("member").alias("y"), F.col("set").alias("b"), F.col("component").alias("c2"))
+    pairs = one.join(two, "list").where("x < y and c1 <> c2").where(_plausible("a", "b", percent))
     return save_and_read(pairs.select("x", "y").distinct().join(done, ["x", "y"], "left_anti"), "open_pairs")
