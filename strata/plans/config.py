@@ -103,8 +103,14 @@ def resolve_source(
     date_format: str = "yyyyMMdd",
 ) -> DataFrame:
     """Path and format to read: the date goes into the template on incremental runs,
-    and a path or format given with the run replaces the configured one."""
-    dated = fill_path(F.col("source_details"), F.date_format(business_date, date_format))
+    and a path or format given with the run replaces the configured one.
+
+    A source may have its own pattern for the date, in a column ``path_date_format``.
+    """
+    pattern = F.lit(date_format)
+    if "path_date_format" in rows.columns:
+        pattern = first_non_empty(F.col("path_date_format"), pattern)
+    dated = fill_path(F.col("source_details"), F.call_function("date_format", business_date, pattern))
     path = F.when(incremental, dated).otherwise(F.col("source_details"))
     return rows.withColumns(
         {
@@ -216,10 +222,16 @@ def quality_rules(config: DataFrame, dimension: str, source_system: str, target:
 def transform_rules(
     config: DataFrame, dimension: str, source_system: str, target: str
 ) -> list[TransformRule]:
+    """Transforms in the order they apply: by ``rule_order`` if the configuration has that
+    column, rules without a number last; equal numbers by column, type and function."""
+    number = F.col("rule_order") if "rule_order" in config.columns else F.lit(None).cast("int")
     rows = active_rules(config, dimension, source_system, target).select(
-        "source_column_name", "transform_type", "transform_fn_name"
-    )
-    return [TransformRule(r[0], r[1], r[2]) for r in rows.collect()]
+        "source_column_name", "transform_type", "transform_fn_name", number.alias("rule_order")
+    ).collect()
+    if "rule_order" in config.columns:
+        last = max((r[3] for r in rows if r[3] is not None), default=0) + 1
+        rows.sort(key=lambda r: (last if r[3] is None else r[3], str(r[0]), str(r[1]), str(r[2])))
+    return [TransformRule(r[0], r[1], r[2]) for r in rows]
 
 
 def flat_sources(

@@ -87,3 +87,23 @@ def test_flat_rules(spark):
     links = spark.createDataFrame([(1, 10, 20)], "pipeline_config_id int, input_table_id int, target_table_id int")
     tables = spark.createDataFrame([(10, "in"), (20, "out")], "table_id int, table_name string")
     assert tuple(meta.flat_rules(rules, links, tables).first()) == ("in", "out", "x is null")
+
+
+def test_transforms_apply_in_the_configured_order(spark):
+    config = spark.createDataFrame(
+        [("D", "S", "T", c, kind, fn, "Y", None, None, None, n) for c, kind, fn, n in (
+            ("a", "t", "third", None), ("b", "t", "first", 1), ("a", "t", "second", 20), ("a", "t", "middle", 7))],
+        meta.TRANSFORM_CONFIG + ", rule_order int",
+    )
+    found = meta.transform_rules(config.repartition(3), "d", "s", "t")
+    assert [r.function for r in found] == ["first", "middle", "second", "third"]
+
+
+def test_a_source_may_have_its_own_path_date(spark):
+    rows = spark.createDataFrame(
+        [("/in/{}", "csv", "yyyy-MM-dd"), ("/in/{}", "csv", None), ("/in/{}", "csv", "")],
+        "source_details string, file_format string, path_date_format string",
+    )
+    none = F.lit(None).cast("string")
+    found = meta.resolve_source(rows, F.lit("2025-04-08").cast("date"), F.lit(True), none, none)
+    assert sorted(r.source_details for r in found.collect()) == ["/in/2025-04-08", "/in/20250408", "/in/20250408"]
