@@ -282,7 +282,10 @@ def similarity_components(docs: DataFrame, size: int = 5, percent: int = 80) ->
     )
     maps = save_and_read(maps, "maps")
     texts = _texts(docs, classes, members, size)
-    centers = lists.groupBy("list").agg(F.min("member").alias("x"))
+    # the member on most lists differs least from the others, so most links lead to it
+    often = lists.groupBy("member").agg(F.count("*").alias("often"))
+    centers = lists.join(often, "member").groupBy("list").agg(F.max(F.struct("often", "member")).alias("c"))
+    centers = centers.select("list", F.col("c.member").alias("x"))
     first = lists.join(centers, "list").where("x <> member").select("x", F.col("member").alias("y")).distinct()
     first = save_and_read(first, "pairs")
     near = first.join(maps.toDF("x", "a"), "x").join(maps.toDF("y", "b"), "y").where(_plausible("a", "b", percent))
