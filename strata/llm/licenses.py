@@ -3,15 +3,22 @@
 Words that occur once in the template and once in the stretch of text are anchors; the
 longest run of anchors in the same order in both is kept, and the gaps between them are
 aligned the same way. Coverage is the share of the template's words that found a partner.
+
+The copies of a full license text are chosen by the words that occur once in the template:
+their places in the whole text are dealt to chains that rise in both, and coverage alone
+decides about a chain. A line of few words has no such redundancy: it must hold the words
+that make it this license, and stands around one of them.
 """
 
 from __future__ import annotations
 
 import bisect
+import math
 import re
 from collections import Counter
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -19,7 +26,12 @@ from strata.llm.rows import id_type, per_row
 
 _WORD = re.compile(r"[^\W_]+")
 
-# fixed values: name, words that must be matched, text
+#: up to this many words a template is a line, and must be found with its needed words
+LINE = 16
+#: extra words between two anchors cost this for each doubling, so that no number of them ends a copy
+GAP_COST = 0.25
+
+# fixed values: name, words that must be matched (of a line), text
 TEMPLATES = [
     ("Apache-2.0", "apache", "Licensed under the Apache License, Version 2.0"),
     ("Apache-2.0-header", "apache unless", """Licensed under the Apache License, Version 2.0 (the
@@ -119,6 +131,26 @@ class Template:
     def slack(self) -> int:
         return len(self.words) // 4 + 2
 
+    @property
+    def line(self) -> bool:
+        return len(self.words) <= LINE
+
+    @cached_property
+    def counts(self) -> Counter:
+        return Counter(self.words)
+
+    @cached_property
+    def anchors(self) -> dict[str, int]:
+        """The words that occur once, with their places."""
+        return {w: i for i, w in enumerate(self.words) if self.counts[w] == 1}
+
+    def may_stand(self, present: set[str], min_coverage: float) -> bool:
+        """Whether a text of these words can be covered enough, whatever their order."""
+        if self.line and not self.needed <= present:
+            return False
+        lost = sum(self.counts[w] for w in self.counts.keys() - present)
+        return (len(self.words) - lost) / len(self.words) >= min_coverage
+
 
 def templates(rows: Iterable[tuple[str, str, str]] = TEMPLATES) -> list[Template]:
     known = [Template(n, frozenset(words(k)), tuple(words(t))) for n, k, t in rows]
@@ -129,7 +161,7 @@ def templates(rows: Iterable[tuple[str, str, str]] = TEMPLATES) -> list[Template
 
 
 def stretches(t: Template, text: list[str], where: dict[str, list[int]]) -> list[tuple[int, int]]:
-    """Where the template may stand: around each place of its rarest needed word.
+    """Where a line may stand: around each place of its rarest needed word.
 
     Two copies of a license next to each other would hide each other's anchors, so a stretch
     that may reach into another copy is also tried cut off between the two places.
@@ -151,26 +183,103 @@ def stretches(t: Template, text: list[str], where: dict[str, list[int]]) -> list
     return out
 
 
+def chains(t: Template, where: dict[str, list[int]]) -> list[list[tuple[int, int]]]:
+    """Places of the template's anchors in the text as (template, text), one chain a copy.
+
+    A chain rises in both; the chains follow each other and hold as many places as they can,
+    less the cost of gaps. A further chain costs a quarter of the anchors: less than a copy
+    holds, more than what is gained by leaving a copy for a passage that is quoted inside it.
+    """
+    places = sorted((p, i) for w, i in t.anchors.items() for p in where.get(w, ()))
+    again = len(t.anchors) / 4
+    score, before, fresh = [0.0] * len(places), [-1] * len(places), [True] * len(places)
+    # for each place of the template the best and the latest of its places in the text
+    best, latest = [-1] * len(t.words), [-1] * len(t.words)
+    top = -1
+    for k, (p, i) in enumerate(places):
+        most, last, new = 0.0, -1, True
+        if top >= 0 and score[top] - again > 0:
+            most, last = score[top] - again, top
+        for j in {*best[:i], *latest[:i]}:
+            if j >= 0 and score[j] > most:
+                extra = abs(p - places[j][0] - i + places[j][1])
+                value = score[j] - (GAP_COST * math.log2(extra + 1) if extra else 0.0)
+                if value > most:
+                    most, last, new = value, j, False
+        score[k], before[k], fresh[k] = most + 1, last, new
+        latest[i] = k
+        if best[i] < 0 or score[k] >= score[best[i]]:
+            best[i] = k
+        if top < 0 or score[k] > score[top]:
+            top = k
+    out: list[list[tuple[int, int]]] = [[]]
+    while top >= 0:
+        p, i = places[top]
+        out[-1].append((i, p))
+        if fresh[top]:
+            out.append([])
+        top = before[top]
+    return [c[::-1] for c in out[::-1] if c]
+
+
+def around(t: Template, text: list[str], chain: list[tuple[int, int]], low: int, high: int) -> list[tuple[int, int]]:
+    """The chain with what aligns in its gaps, and before and after it within low and high."""
+    pairs = list(chain)
+    i, p = chain[0]
+    while i and p > low and t.words[i - 1] == text[p - 1]:
+        i, p = i - 1, p - 1
+        pairs.append((i, p))
+    gaps = [((-1, low - 1), (i, p)), *zip(chain, chain[1:]), (chain[-1], (len(t.words), high))]
+    for (i, p), (j, q) in gaps:
+        if i + 1 < j and p + 1 < q:
+            inside = patience(list(t.words[i + 1 : j]), text[p + 1 : q])
+            pairs += [(i + 1 + x, p + 1 + y) for x, y in inside]
+    return sorted(pairs)
+
+
+def copies(t: Template, text: list[str], where: dict[str, list[int]], min_coverage: float) -> list[list[tuple[int, int]]]:
+    """The alignments of a full text's copies that are covered enough, one after the other."""
+    found: list[list[tuple[int, int]]] = []
+    end, dealt = 0, chains(t, where)
+    for k, chain in enumerate(dealt):
+        (i, p), (j, q) = chain[0], chain[-1]
+        after = len(t.words) - j
+        low, high = max(end, p - 2 * i - t.slack), min(len(text), q + 2 * after + t.slack)
+        if k + 1 < len(dealt):
+            x, y = dealt[k + 1][0]
+            high = min(high, y, max(q + after, y - x))
+        pairs = around(t, text, chain, low, high)
+        end = q + 1
+        if len(pairs) / len(t.words) >= min_coverage:
+            found.append(pairs)
+            end = pairs[-1][1] + 1
+    return found
+
+
 def scan(text: list[str], known: list[Template], min_coverage: float) -> list[tuple[str, int, int, int, float]]:
     """name, start, end (words), matched words and coverage of each license found.
 
     Of matches that overlap, the one with more matched words stays, then the shorter, then
     the first by name.
     """
-    vocabulary = {w for t in known for w in t.needed}
+    present = set(text)
+    known = [t for t in known if t.may_stand(present, min_coverage)]
+    vocabulary = {w for t in known for w in (t.needed if t.line else t.anchors)}
     where: dict[str, list[int]] = {}
-    for i, w in enumerate(text):
+    for i, w in enumerate(text if known else ()):
         if w in vocabulary:
             where.setdefault(w, []).append(i)
     found = []
     for t in known:
-        if not all(w in where for w in t.needed):
-            continue
-        for low, high in stretches(t, text, where):
-            pairs = patience(list(t.words), text[low:high])
-            coverage = len(pairs) / len(t.words)
-            if coverage >= min_coverage and t.needed <= {t.words[i] for i, _ in pairs}:
-                found.append((t.name, low + pairs[0][1], low + pairs[-1][1] + 1, len(pairs), coverage))
+        if t.line:
+            aligned = []
+            for low, high in stretches(t, text, where):
+                pairs = [(i, low + p) for i, p in patience(list(t.words), text[low:high])]
+                if len(pairs) / len(t.words) >= min_coverage and t.needed <= {t.words[i] for i, _ in pairs}:
+                    aligned.append(pairs)
+        else:
+            aligned = copies(t, text, where, min_coverage)
+        found += [(t.name, a[0][1], a[-1][1] + 1, len(a), len(a) / len(t.words)) for a in aligned]
     chosen: list[tuple[str, int, int, int, float]] = []
     for f in sorted(found, key=lambda f: (-f[3], f[2] - f[1], f[0], f[1])):
         if all(f[2] <= c[1] or c[2] <= f[1] for c in chosen):
@@ -186,15 +295,13 @@ def license_scan(
     ``licenses`` are the names found, sorted and joined by commas; ``spans`` are
     ``name:start:end:matched`` in words, in order. A null or empty text has no matches and
     coverage 0. Repeated rows are scanned each; an empty table gives no rows; other columns
-    are not used. A text is only taken apart if it has the needed words of some template.
+    are not used.
     """
     known = templates(rows)
 
     def make() -> Callable[[tuple], Iterable[tuple]]:
         def one(row: tuple) -> Iterable[tuple]:
-            lower = (row[1] or b"").decode().lower()
-            likely = [t for t in known if all(w in lower for w in t.needed)]
-            found = scan(words(lower), likely, min_coverage) if likely else []
+            found = scan(words((row[1] or b"").decode()), known, min_coverage)
             yield (
                 row[0], len(found), ",".join(sorted({f[0] for f in found})),
                 max((f[4] for f in found), default=0.0),

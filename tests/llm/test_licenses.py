@@ -58,3 +58,50 @@ def test_odd_rows(odd, none):
     found = license_scan(odd).collect()
     assert len(found) == 9 and all((r.n_matches, r.spans, r.best_coverage) == (0, "", 0.0) for r in found)
     assert license_scan(none).count() == 0
+
+
+def text_of(name):
+    return words(next(t for n, _, t in TEMPLATES if n == name))
+
+
+@pytest.mark.parametrize("name, word, other", [
+    ("MIT-text", "noninfringement", ["non", "infringement"]), ("MIT-text", "sublicense", ["relicense"]),
+    ("Apache-2.0-header", "unless", []), ("ISC-text", "granted", []), ("BSD-2-text", "retain", ["keep"]),
+    ("GPL-3.0-header", "gnu", []),
+])
+def test_no_single_word_decides_about_a_full_text(name, word, other):
+    text, at = text_of(name), text_of(name).index(word)
+    changed = ["x"] * 30 + text[:at] + other + text[at + 1 :] + ["y"] * 30
+    [found] = scan(changed, KNOWN, 0.8)
+    assert found[:4] == (name, 30, len(changed) - 30, len(text) - 1)
+
+
+@pytest.mark.parametrize("name", [t.name for t in KNOWN if not t.line])
+def test_inserted_words_do_not_lower_the_coverage(name):
+    text = text_of(name)
+    extra = "some words of another kind that were put in between ".split()
+    half, third = len(text) // 2, len(text) // 3
+    block = text[:half] + extra * 200 + text[half:]
+    spread = [w for i, v in enumerate(text) for w in ([extra[i % 5], v] if i % 2 else [v])]
+    parts = text[:third] + extra * len(text) + text[third : 2 * third] + extra * len(text) + text[2 * third :]
+    for changed in (block, spread, parts):
+        [found] = scan(["x"] * 30 + changed + ["y"] * 30, KNOWN, 0.8)
+        assert found[:2] == (name, 30) and found[2] == 30 + len(changed) and found[4] > 0.95
+
+
+@pytest.mark.parametrize("name", [t.name for t in KNOWN if not t.line])
+def test_damaged_copies_next_to_each_other_stay_apart(name):
+    text = text_of(name)
+    first = text[: len(text) * 9 // 10] + ["x"] * (len(text) // 10)
+    second = ["y"] * (len(text) // 10) + text[len(text) // 10 :]
+    for copies in ([first, second], [second, first], [first, second, text, first]):
+        found = scan([w for c in copies for w in c], KNOWN, 0.8)
+        assert [f[0] for f in found] == [name] * len(copies)
+        starts = [sum(map(len, copies[:i])) for i in range(len(copies))]
+        assert all(s <= f[1] and f[2] <= s + len(c) + 1 for s, f, c in zip(starts, found, copies))
+
+
+def test_words_of_a_license_far_apart_are_none():
+    isc = text_of("ISC-text")
+    far = [w for v in isc for w in [v, *(f"w{i}" for i in range(60))]]
+    assert scan(far, KNOWN, 0.8) == []
