@@ -43,9 +43,12 @@ PROPOSALS = {
     "phone": (r"[0-9]{3}[.-][0-9]{4}",
               r"(?<![0-9+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9.-])"),
     "secret": (r"[=:]", r"(?i)\b(?:password|passwd|pwd|token|secret|api[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}"
-               r"[\"']?[a-z0-9_+/-]{8,128}+"),
+               r"[\"']?[a-z0-9_+/-]{8,}+"),
+    # account numbers end in a group of one to three; behind a blank it needs a digit, not to take
+    # a word, but for the countries whose last group may be letters
     "id": (r"[0-9]{4}", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-           r"|\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}+\b"),
+           r"|\bCH[0-9]{2}(?: ?[A-Z0-9]{4}){4} ?[A-Z0-9]\b|\bIT[0-9]{2}(?: ?[A-Z0-9]{4}){5} ?[A-Z0-9]{3}\b"
+           r"|\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}+(?:(?: (?=[A-Z]{0,2}[0-9]))?[A-Z0-9]{1,3})?\b"),
 }
 # fixed values: words that speak for a kind in front of a span, and gazetteers
 CONTEXT = {

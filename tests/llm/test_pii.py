@@ -93,3 +93,21 @@ def test_no_python_runs(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     plan = personal_data(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_long_secrets_are_masked_whole(spark, make_docs):
+    draw = random.Random(5)
+    keys = ["".join(draw.choice("abcdefgh0123456") for _ in range(n)) for n in (8, 128, 129, 300, 5000)]
+    docs = make_docs([(i, f'set api_key = "{k}" and more') for i, k in enumerate(keys)])
+    assert {r.text for r in masked(docs).collect()} == {'set <SECRET>" and more'}
+
+
+def test_account_numbers_are_masked_whole(spark, make_docs):
+    numbers = [
+        "DE89 3704 0044 0532 0130 00", "GB29 NWBK 6016 1331 9268 19", "FR14 2004 1010 0505 0001 3M02 606",
+        "NL91 ABNA 0417 1643 00", "IT60 X054 2811 1010 0000 0123 456", "CH93 0076 2011 6238 5295 7",
+        "CH93 0076 2011 6238 5295 K", "AT61 1904 3002 3457 3201", "BE68 5390 0754 7034", "ES91 2100 0418 4502 0005 1332",
+    ]
+    texts = [f"iban {n}{after}" for n in numbers for n in (n, n.replace(" ", "")) for after in (" BIC as before", ".")]
+    found = masked(make_docs(list(enumerate(texts)))).collect()
+    assert {(texts[r.doc_id], r.text) for r in found} == {(t, "iban <ID>" + (" BIC as before" if "BIC" in t else ".")) for t in texts}
