@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.operators.cdc import DELETE, OPERATION, SNAPSHOT_ROW, snapshot_deletes
+from strata.sources.reloads import keep_record, recorded
 
 BUSINESS_DATE = "business_date"
 #: number of the load that brought a row; later loads have larger ones
@@ -93,36 +94,40 @@ def spread_by_date(df: DataFrame) -> DataFrame:
 
 
 def append(df: DataFrame, table: str) -> None:
+    keep_record(df.sparkSession, table)
     spread_by_date(df).write.mode("append").partitionBy(BUSINESS_DATE).parquet(table)
 
 
 def overwrite(df: DataFrame, table: str) -> None:
     """Full refresh: the table holds these rows only."""
-    (
-        spread_by_date(df)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(BUSINESS_DATE)
-        .parquet(table)
-    )
+    with recorded(df.sparkSession, table, [""]):
+        (
+            spread_by_date(df)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy(BUSINESS_DATE)
+            .parquet(table)
+        )
 
 
 def replace_dates(df: DataFrame, table: str) -> None:
     """Reload the business dates present in ``df``; every other date stays as it is."""
-    (
-        spread_by_date(df)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUSINESS_DATE)
-        .parquet(table)
-    )
+    with recorded(df.sparkSession, table):
+        (
+            spread_by_date(df)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(BUSINESS_DATE)
+            .parquet(table)
+        )
 
 
 def delete_date(spark: SparkSession, table: str, day: date | str) -> None:
     """Remove a business date from a landing table; nothing happens if it is not there."""
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(f"{table}/{BUSINESS_DATE}={day}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    with recorded(spark, table, [f"{BUSINESS_DATE}={day}"]):
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def correct_file(df: DataFrame, table: str, run_date: date | str) -> None:

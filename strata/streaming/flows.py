@@ -7,6 +7,7 @@ leaves the same files once.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
@@ -17,6 +18,7 @@ from pyspark.sql.types import StructType
 from strata.operators.ordered import row_hash
 from strata.operators.quality import Rule, assess, audit_records, check_fail_rules, clean_rows
 from strata.operators.scd import scd1, scd2
+from strata.sources.reloads import lost
 
 BATCH, BUCKET = "batch_id", "bucket"
 #: files of one micro-batch, unless a caller says otherwise
@@ -32,27 +34,40 @@ def read_folder(
     A reloaded date arrives as new files, so files of a batch that failed before may have
     gone; :func:`check_files` tells them from files that are lost.
     """
-    reader = spark.readStream.schema(schema).option("ignoreMissingFiles", "true")
+    reader = spark.readStream.schema(schema).option("ignoreMissingFiles", "false")
     return reader.option("maxFilesPerTrigger", max_files).parquet(folder)
 
 
-def check_files(df: DataFrame) -> None:
-    """Fail if a file of the batch has gone and nothing has come in its place.
+def batch_files(spark: SparkSession, checkpoint: str, batch: int) -> list[tuple[str, int]]:
+    """Names and times of a batch's files as the checkpoint has them.
 
-    The names are those of one batch, so there are at most as many as a batch takes.
+    Files that had gone when the batch was opened are not in its plan any more. There are
+    at most as many as a batch takes.
     """
-    spark = df.sparkSession
-    path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
-    names = set(df.inputFiles())
-    for name in sorted(names):
-        file = path(name)
-        system = file.getFileSystem(conf)
-        if system.exists(file):
-            continue
-        folder = file.getParent()
-        there = [str(f.getPath()) for f in system.listStatus(folder)] if system.exists(folder) else []
-        if not any(x.endswith(".parquet") for x in there):
-            raise FileNotFoundError(f"{name} has gone without a replacement")
+
+    def offset(number: int) -> int:
+        lines = [r.value for r in spark.read.text(f"{checkpoint}/offsets/{number}").collect()]
+        return next(x["logOffset"] for x in map(json.loads, lines[1:]) if "logOffset" in x)
+
+    first, last = offset(batch - 1) + 1 if batch else 0, offset(batch)
+    # every tenth page repeats all earlier ones
+    pages = [f"{checkpoint}/sources/0/{n}{{,.compact}}" for n in range(first, last + 1)]
+    if not pages:
+        return []
+    entry = F.from_json("value", "path string, timestamp long, batchId long").alias("e")
+    entries = spark.read.text(pages).filter(F.col("value").startswith("{")).select(entry).select("e.*")
+    wanted = entries.filter(F.col("batchId").between(first, last)).distinct()
+    return [(r.path, r.timestamp) for r in wanted.collect()]
+
+
+def check_files(spark: SparkSession, checkpoint: str, batch: int) -> None:
+    """Fail if a file of the batch has gone, unless a reload has replaced it.
+
+    A file that goes later fails the batch when it is read.
+    """
+    gone = lost(spark, batch_files(spark, checkpoint, batch))
+    if gone:
+        raise FileNotFoundError(f"{len(gone)} files have gone without a replacement: {sorted(gone)[:10]}")
 
 
 def drain(
@@ -61,10 +76,17 @@ def drain(
     write: Callable[[DataFrame, int], None],
     mode: str = "append",
 ) -> None:
-    """Process everything available, then stop; the checkpoint remembers the place."""
+    """Process everything available, then stop; the checkpoint remembers the place.
+
+    No batch is written before its files are known to be there."""
+
+    def checked(df: DataFrame, batch: int) -> None:
+        check_files(df.sparkSession, checkpoint, batch)
+        write(df, batch)
+
     query = (
         stream.writeStream.outputMode(mode)
-        .foreachBatch(write)
+        .foreachBatch(checked)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -108,7 +130,6 @@ def refine(
     """
 
     def write(df: DataFrame, batch: int) -> None:
-        check_files(df)
         kept = typed(df).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             check_fail_rules(kept, rules)

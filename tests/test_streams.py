@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.operators.quality import QualityFailure, Rule
+from strata.sources import landing
 from strata.streaming import flows
 
 SCHEMA = "k string, business_date date, processing_time long, v string"
@@ -103,3 +104,75 @@ def test_history_rewrites_touched_buckets_only(spark, tmp_path):
     assert found.count() == 10
     got = sorted((r.start_at.day, r.end_at.day if r.end_at else None) for r in found.filter("k = 'a'").collect())
     assert got == [(1, 3), (3, 5), (5, None)]
+
+
+def parts(spark, place, number):
+    """A date of as many files, landed at once."""
+    rows = [(f"k{i}", date(2025, 1, 1), i, "x") for i in range(30 * number)]
+    landing.keep_record(spark, place)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(number)
+    df.write.mode("append").partitionBy("business_date").parquet(place)
+
+
+def interrupted(spark, place, state):
+    """A batch that has taken its files and fails before it writes."""
+
+    def fail(df, batch):
+        raise RuntimeError("stopped")
+
+    reader = flows.read_folder(spark, place, spark.createDataFrame([], SCHEMA).schema)
+    with pytest.raises(Exception, match="stopped"):
+        flows.drain(reader, state, fail)
+    return reader
+
+
+FLOWS = {
+    "flow": lambda s, state, out: flows.flow(s, state, out, lambda df: df),
+    "refine": lambda s, state, out: flows.refine(s, state, lambda df: df, [], lambda df: df, out, out + "-audit", ("d", "t", "v")),
+    "latest": lambda s, state, out: flows.follow_latest(s, state, out, ["k"], "business_date", "processing_time"),
+    "changes": lambda s, state, out: flows.follow_changes(s, state, out),
+    "history": lambda s, state, out: flows.follow_history(
+        s, state, out + "-log", out, ["k"], "business_date", "processing_time", lambda v: v, buckets=4),
+}
+
+
+@pytest.mark.parametrize("name", FLOWS)
+def test_a_lost_part_of_a_date_fails_every_flow(spark, tmp_path, name):
+    place, state, out = (str(tmp_path / n) for n in ("in", "state", "out"))
+    parts(spark, place, 3)
+    stream_ = interrupted(spark, place, state)
+    first = sorted((tmp_path / "in" / "business_date=2025-01-01").glob("*.parquet"))[0]
+    first.unlink()
+    with pytest.raises(Exception, match="gone without a replacement"):
+        FLOWS[name](stream_, state, out)
+    assert not (tmp_path / "out").exists()
+
+
+def test_a_reload_replaces_its_dates_only(spark, tmp_path):
+    place, state, out = (str(tmp_path / n) for n in ("in", "state", "out"))
+    parts(spark, place, 3)
+    other = spark.createDataFrame([("o", date(2025, 1, 2), 1, "x")], SCHEMA)
+    landing.append(other, place)
+    stream_ = interrupted(spark, place, state)
+    # a lost part is made good by a reload of its date
+    sorted((tmp_path / "in" / "business_date=2025-01-01").glob("*.parquet"))[0].unlink()
+    landing.replace_dates(spark.createDataFrame([("n", date(2025, 1, 1), 9, "y")], SCHEMA), place)
+    flows.flow(stream_, state, out, lambda df: df)
+    assert {r.k for r in flows.read_batches(spark, out).collect()} == {"n", "o"}
+    # a part of a date that was not reloaded is still missed, also beside a later part
+    landing.append(other, place)
+    flows_state = str(tmp_path / "state2")
+    stream_ = interrupted(spark, place, flows_state)
+    sorted((tmp_path / "in" / "business_date=2025-01-02").glob("*.parquet"))[0].unlink()
+    with pytest.raises(Exception, match="gone without a replacement"):
+        flows.flow(stream_, flows_state, out + "2", lambda df: df)
+
+
+def test_files_of_a_batch_are_known_beyond_compaction(spark, tmp_path):
+    place, state, out = (str(tmp_path / n) for n in ("in", "state", "out"))
+    for i in range(12):
+        deliver(spark, place, (f"k{i}", 1, i, "x"))
+    flows.flow(stream(spark, place), state, out, lambda df: df)
+    assert flows.read_batches(spark, out).count() == 12
+    known = [n for b in range(12) for n, _ in flows.batch_files(spark, state, b)]
+    assert len(known) == len(set(known)) == 12
