@@ -161,6 +161,7 @@ def load_landing(
                 compute_cdc=settings["compute_cdc"] == "Y" and not sends_operations,
                 refresh=refresh,
                 correction=correction,
+                source_schema=item.schema,
             )
 
 

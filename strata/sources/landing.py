@@ -140,12 +140,24 @@ def correct_file(df: DataFrame, table: str, run_date: date | str) -> None:
         delete_date(spark, table, run_date)
 
 
-def correct_rows(spark: SparkSession, table: str, corrected: DataFrame, keys: Sequence[str]) -> None:
+def correct_rows(
+    spark: SparkSession,
+    table: str,
+    corrected: DataFrame,
+    keys: Sequence[str],
+    source_schema: str | None = None,
+) -> None:
     """Replace single rows: the old rows of the corrected keys go, the new ones come.
 
-    Only the dates the corrected rows belong to are read and written again.
+    Only the dates the corrected rows belong to are read and written again. Rows without a
+    source schema get the run's; without any no stream would take them.
     """
     current = read_table(spark, table)
+    if source_schema is not None:
+        given = F.col("source_schema") if "source_schema" in corrected.columns else F.lit(None)
+        corrected = corrected.withColumn("source_schema", F.coalesce(given, F.lit(source_schema)))
+    elif "source_schema" in current.columns and "source_schema" not in corrected.columns:
+        raise ValueError(f"corrected rows of {table} need a source_schema")
     renamed = [F.col(f"`{k}`").alias(f"c_{k}") for k in keys]
     fixed = corrected.select(*renamed, F.col(BUSINESS_DATE).alias("c_date")).distinct()
     touched = fixed.select("c_date").distinct()
@@ -195,11 +207,13 @@ def load(
     compute_cdc: bool = False,
     refresh: str = "incremental_refresh",
     correction: str | None = None,
+    source_schema: str | None = None,
 ) -> None:
     """Load stamped rows of one input into its landing table.
 
     Deletes are computed from the previous state unless the run loads history or the
-    source sends its own operation codes. Delete rows carry the run's date. Every row
+    source sends its own operation codes. Delete rows carry the run's date and, if it is
+    given, its source schema, whatever schema their key came under. Every row
     carries the number of its load, which settles what is the last word on a key that
     came and went within one date.
     """
@@ -214,6 +228,9 @@ def load(
         deleted = F.col(f"`{OPERATION}`") == DELETE
         stamped = F.when(deleted, F.lit(run_date).cast("date")).otherwise(F.col(BUSINESS_DATE))
         rows = rows.withColumn(BUSINESS_DATE, stamped)
+        if source_schema is not None:
+            schema = F.when(deleted, F.lit(source_schema)).otherwise(F.col("source_schema"))
+            rows = rows.withColumn("source_schema", schema)
     rows = rows.withColumn(LOAD, F.lit(number).cast("long"))
     if refresh == "full_refresh":
         overwrite(rows, table)

@@ -1,5 +1,6 @@
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -148,3 +149,29 @@ def test_named_tables(spark, tmp_path):
     flow(stream, str(tmp_path / "state"), str(tmp_path / "out"), lambda df: df)
     assert read_batches(spark, str(tmp_path / "out")).count() == 5
     spark.sql("DROP TABLE named_numbers")
+
+
+def test_deletes_belong_to_the_schema_of_their_run(spark, tmp_path):
+    place = str(tmp_path / "t")
+
+    def load(keys, schema, day, scenario):
+        raw = spark.createDataFrame([(k, "x") for k in keys], "k int, v string")
+        stamped = landing.stamp(raw, schema, day)
+        landing.load(spark, stamped, place, ["k"], scenario, day, compute_cdc=True, source_schema=schema)
+
+    load([1, 2], "old", "2025-04-08", "historical_run")
+    load([1], "new", "2025-04-09", "daily_run")
+    last = landing.read_table(spark, place).filter("business_date = date'2025-04-09'").collect()
+    assert any(r["__$operation"] == landing.DELETE and r.k == 2 for r in last)
+    assert {r.source_schema for r in last} == {"new"}
+
+
+def test_corrected_rows_belong_to_the_schema_of_their_run(spark, tmp_path):
+    place = str(tmp_path / "t")
+    raw = spark.createDataFrame([(1, "x"), (2, "x")], "k int, v string")
+    landing.append(landing.stamp(raw, "cdc", "2025-04-08"), place)
+    fixed = spark.createDataFrame([(1, "y", A)], "k int, v string, business_date date")
+    with pytest.raises(ValueError, match="source_schema"):
+        landing.correct_rows(spark, place, fixed, ["k"])
+    landing.correct_rows(spark, place, fixed, ["k"], "cdc")
+    assert {(r.k, r.v, r.source_schema) for r in landing.read_table(spark, place).collect()} == {(1, "y", "cdc"), (2, "x", "cdc")}
