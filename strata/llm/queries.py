@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.llm import chat, decontaminate
 from strata.llm.bpe import encode_digests
@@ -11,6 +12,7 @@ from strata.llm.jaccard import similarity_components
 from strata.llm.language import identify
 from strata.llm.licenses import license_scan
 from strata.llm.pii import span_report
+from strata.llm.runs import run_digests
 from strata.llm.substring import deduplicated
 from strata.llm.tokens import token_counts
 from strata.queries.tables import table
@@ -64,6 +66,26 @@ def op10_automaton_substring_dedup(spark: SparkSession, folder: str) -> DataFram
     return deduplicated(table(spark, folder, "documents"), span=35)
 
 
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """The texts with the repeats that the contract of operator 13 writes into a tenth of them.
+
+    Where h = crc32(doc_id as text) ends in 0, every word from number a = g % n on becomes word
+    a + (i - a) % p, with g = h / 10 and p = 1 + (n - a) / (3 + g % 8) without remainders.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.array_remove(F.split("text", r"[ \t-\r]+"), "")
+    rows = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("words"), F.floor(h / 10).alias("g"))
+    rows = rows.withColumn("n", F.nullif(F.size("words"), F.lit(0)))
+    rows = rows.selectExpr("*", "int(g % n) as a").selectExpr("*", "int(1 + (n - a) div (3 + g % 8)) as p")
+    repeated = "flatten(array_repeat(slice(words, a + 1, p), int((n - a + p - 1) div p)))"
+    written = f"array_join(concat(slice(words, 1, a), slice({repeated}, 1, n - a)), ' ')"
+    return rows.selectExpr("doc_id", f"case when n > 0 then {written} else text end as text")
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return run_digests(planted_repeats(table(spark, folder, "documents")), least=6, times=4)
+
+
 #: name -> (query, SQL twin or None)
 QUERIES = {
     "op1_perspective_rotation": (op1_perspective_rotation, chat.SQL),
@@ -76,4 +98,5 @@ QUERIES = {
     "op8_patience_license_scan": (op8_patience_license_scan, None),
     "op9_partenum_jaccard": (op9_partenum_jaccard, None),
     "op10_automaton_substring_dedup": (op10_automaton_substring_dedup, None),
+    "op13_periodic_runs": (op13_periodic_runs, None),
 }
