@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import chat, decontaminate
+from strata.llm.alignment import alignment_digests
 from strata.llm.bpe import encode_digests
 from strata.llm.divergence import quality
 from strata.llm.jaccard import similarity_components
@@ -66,6 +67,11 @@ def op10_automaton_substring_dedup(spark: SparkSession, folder: str) -> DataFram
     return deduplicated(table(spark, folder, "documents"), span=35)
 
 
+def op12_diagonal_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    models = _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model")
+    return alignment_digests(table(spark, folder, "documents"), *models)
+
+
 def planted_repeats(docs: DataFrame) -> DataFrame:
     """The texts with the repeats that the contract of operator 13 writes into a tenth of them.
 
@@ -98,5 +104,6 @@ QUERIES = {
     "op8_patience_license_scan": (op8_patience_license_scan, None),
     "op9_partenum_jaccard": (op9_partenum_jaccard, None),
     "op10_automaton_substring_dedup": (op10_automaton_substring_dedup, None),
+    "op12_diagonal_token_alignment": (op12_diagonal_token_alignment, None),
     "op13_periodic_runs": (op13_periodic_runs, None),
 }
