@@ -20,9 +20,10 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import json
 import re
 from collections.abc import Callable, Iterable
-from operator import add
+from operator import add, itemgetter
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -31,12 +32,16 @@ from pyspark.sql import functions as F
 from strata.llm.rows import id_type, per_row, save_and_read
 from strata.llm.tokens import check_model, processor
 
+# fixed value: the words of byte-level tokenizers
+BYTE_LEVEL_WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: sums of more pairs than this are shuffled; below it they take less than 100 MB
 FEW_PAIRS = 1 << 20
 #: pieces that a worker keeps twice over, the recent and the ones before, and the longest of them
-CACHED, CACHED_LENGTH = 120_000, 48
+CACHED, CACHED_LENGTH = 250_000, 48
 _IRREGULAR = re.compile(r"\s | \s| \Z")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+#: characters whose classes do not depend on the version of Unicode
+_PLAIN = re.compile("[\x00-\u024f]*")
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
@@ -56,7 +61,11 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class ByteLevel:
-    """A tokenizers file whose entries are written in the byte alphabet."""
+    """A tokenizers file whose entries are written in the byte alphabet.
+
+    Plain text is encoded by ranks, several times as fast, if the file's merges are in the
+    order of their results and it cuts words by the byte-level pattern: then both mean the same.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -71,8 +80,29 @@ class ByteLevel:
             bytes(alphabet[c] for c in t) if all(c in alphabet for c in t) else t.encode()
             for t in (names.get(i, "") for i in range(max(names, default=-1) + 1))
         ]
+        self.by_ranks = self._ranks()
+
+    def _ranks(self):
+        import tiktoken
+
+        file = json.loads(self.tokenizer.to_str())
+        model, cutter = file["model"], file["pre_tokenizer"] or {}
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
+        ranks = [model["vocab"].get(x + y, -1) for x, y in merges]
+        if (
+            file["normalizer"] is not None
+            or model["type"] != "BPE"
+            or (cutter.get("type"), cutter.get("add_prefix_space"), cutter.get("use_regex")) != ("ByteLevel", False, True)
+            or ranks != sorted(set(ranks))
+        ):
+            return None
+        special = {t["id"] for t in file["added_tokens"]}
+        known = {e: i for i, e in enumerate(self.entries) if i not in special}
+        return tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL_WORDS, mergeable_ranks=known, special_tokens={})
 
     def encode(self, text: str) -> list[int]:
+        if self.by_ranks and _PLAIN.fullmatch(text):
+            return self.by_ranks.encode_ordinary(text)
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -101,13 +131,14 @@ def segments(ends_a: list[int], ends_b: list[int]) -> Iterable[tuple[int, int, i
     last = len(ends_a)
     while i < last:
         at, shift, step = i, j - i, 1
-        while (probe := ends_a[at : at + step]) and probe == ends_b[at + shift : at + shift + step]:
-            at += len(probe)
-            step *= 2
-        while step > 1:
-            step >>= 1
-            if (probe := ends_a[at : at + step]) and probe == ends_b[at + shift : at + shift + step]:
+        if ends_a[i] == ends_b[j]:
+            while (probe := ends_a[at : at + step]) and probe == ends_b[at + shift : at + shift + step]:
                 at += len(probe)
+                step *= 2
+            while step > 1:
+                step >>= 1
+                if (probe := ends_a[at : at + step]) and probe == ends_b[at + shift : at + shift + step]:
+                    at += len(probe)
         if at > i:
             yield i, at, j, at + shift, True
             i, j = at, at + shift
@@ -126,6 +157,11 @@ def segments(ends_a: list[int], ends_b: list[int]) -> Iterable[tuple[int, int, i
         i, j = x + 1, y + 1
 
 
+#: a piece whose tokens have other bytes
+DIFFERENT = (-1, -1, "", b"")
+_OF_A, _OF_B, _GROUPS, _LINKS = map(itemgetter, range(4))
+
+
 class Aligner:
     """Aligns one text at a time; keeps what it has found for recurring pieces."""
 
@@ -136,7 +172,7 @@ class Aligner:
         self.text_a = [str(i) for i in range(len(a.entries))]
         self.text_b = [str(i) for i in range(self.width)]
         self.before_bar = [t + "|" for t in self.text_a]
-        self.known: dict[str, tuple | bool] = {}
+        self.known: dict[str, tuple] = {}
         self.older = self.known
 
     def encode(self, text: str) -> tuple[list[int], list[int]] | None:
@@ -166,31 +202,32 @@ class Aligner:
         links = np.delete(ids[0], inner_a) * self.width + np.delete(ids[1], inner_b)
         return groups, np.delete(ends[0], inner_a), links, ends
 
-    def keep(self, piece: str, found: tuple | bool) -> None:
-        if len(piece) <= CACHED_LENGTH:
-            if len(self.known) >= CACHED:
-                self.older, self.known = self.known, {}
-            self.known[piece] = found
-
-    def learn(self, pieces: list[str]) -> dict[str, tuple | bool]:
-        """(tokens of A, of B, groups as text, links) of pieces; False where bytes differ.
+    def learn(self, pieces: list[str]) -> dict[str, tuple]:
+        """(tokens of A, of B, groups as text, links) of pieces; -1 tokens where bytes differ.
 
         Pieces that start with a space and have other characters than white space on both
         sides of it are encoded and aligned as one text, as their borders are cuts again.
         """
-        out: dict[str, tuple | bool] = {}
+        out: dict[str, tuple] = {}
         joined = [p for p in pieces if len(p) > 1 and not p[1].isspace() and not p[-1].isspace()]
-        if ids := joined and self.encode("".join(joined)):
-            self.split(joined, ids, out)
+        plain = [p for p in joined if _PLAIN.fullmatch(p)]
+        for part in (plain, [p for p in joined if not _PLAIN.fullmatch(p)] if len(plain) < len(joined) else []):
+            if ids := part and self.encode("".join(part)):
+                self.split(part, ids, out)
         for p in pieces:
             if p not in out:
                 if ids := self.encode(p):
                     self.split([p], ids, out)
                 else:
-                    out[p] = False
-            self.keep(p, out[p])
+                    out[p] = DIFFERENT
+        self.keep(out)
         return out
 
+    def keep(self, found: dict[str, tuple]) -> None:
+        self.known.update((p, f) for p, f in found.items() if len(p) <= CACHED_LENGTH)
+        if len(self.known) >= CACHED:
+            self.older, self.known = self.known, {}
+
     def split(self, pieces: list[str], ids: tuple[list[int], list[int]], out: dict) -> None:
         """Aligns the ids of joined pieces and hands each piece its part."""
         groups, last, links, ends = self.align(*ids)
@@ -198,38 +235,35 @@ class Aligner:
         at = [np.searchsorted(e, borders) + 1 for e in (*ends, last)]
         n_a, n_b = (np.diff(x, prepend=0).tolist() for x in at[:2])
         cuts = [0, *at[2].tolist()]
-        links = links.tolist()
+        raw = links.tobytes()
         for k, p in enumerate(pieces):
-            own = slice(cuts[k], cuts[k + 1])
-            out[p] = n_a[k], n_b[k], ";".join(groups[own]), links[own]
+            low, high = cuts[k], cuts[k + 1]
+            out[p] = n_a[k], n_b[k], ";".join(groups[low:high]), raw[8 * low : 8 * high]
 
-    def text(self, text: str) -> tuple[int, int, str, list[int]]:
+    def text(self, text: str) -> tuple[int, int, str, np.ndarray]:
         """Tokens of A, of B, groups as text, and links of the text after a space."""
+        nothing = 0, 0, "", np.empty(0, np.int64)
         if not text:
-            return 0, 0, "", []
+            return nothing
         pieces = cut(" " + text)
         found = list(map(self.known.get, pieces))
-        missing: dict[str, list[int]] = {}
-        for k, known in enumerate(found):
-            if known is None:
-                piece = pieces[k]
-                known = found[k] = self.older.get(piece)
-                if known is None:
-                    missing.setdefault(piece, []).append(k)
-                else:
-                    self.keep(piece, known)
-        for piece, known in self.learn([*missing]).items() if missing else ():
-            for k in missing[piece]:
-                found[k] = known
-        if False in found:
-            # a piece whose bytes differ: the text as a whole decides
+        if unknown := [k for k, f in enumerate(found) if f is None]:
+            missing = {pieces[k]: self.older.get(pieces[k]) for k in unknown}
+            if again := {p: f for p, f in missing.items() if f}:
+                self.keep(again)
+            if len(again) < len(missing):
+                missing |= self.learn([p for p, f in missing.items() if not f])
+            for k in unknown:
+                found[k] = missing[pieces[k]]
+        if DIFFERENT in found:
+            # the text as a whole decides
             ids = self.encode(" " + text)
             if not ids:
-                return 0, 0, "", []
+                return nothing
             groups, _, links, _ = self.align(*ids)
-            return len(ids[0]), len(ids[1]), ";".join(groups), links.tolist()
-        all_a, all_b, groups, links = zip(*found)
-        return sum(all_a), sum(all_b), ";".join(groups), [x for part in links for x in part]
+            return len(ids[0]), len(ids[1]), ";".join(groups), links
+        links = np.frombuffer(b"".join(map(_LINKS, found)), np.int64)
+        return sum(map(_OF_A, found)), sum(map(_OF_B, found)), ";".join(map(_GROUPS, found)), links
 
 
 @functools.lru_cache(maxsize=1)
@@ -257,7 +291,7 @@ def _aligned(docs: DataFrame, model_a: str, model_b: str, schema: str, show: Cal
 
         def one(row: tuple) -> Iterable[tuple]:
             n_a, n_b, groups, links = aligner.text((row[1] or b"").decode())
-            pairs, times = np.unique(np.array(links, np.int64), return_counts=True)
+            pairs, times = np.unique(links, return_counts=True)
             yield row[0], n_a, n_b, len(links), len(links), show(groups), pairs.tolist(), times.tolist()
 
         return one

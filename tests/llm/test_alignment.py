@@ -26,6 +26,11 @@ def aligner():
     return Aligner(ByteLevel(MODELS[0]), Pieces(MODELS[1]))
 
 
+def shown(aligner, text):
+    *numbers, links = aligner.text(text)
+    return *numbers, links.tolist()
+
+
 def whole(aligner, text):
     """Tokens, groups and links of the whole text, by the sets of common ends."""
     if not text:
@@ -68,7 +73,14 @@ def test_texts_against_whole_encoding(aligner):
     texts += ["word " * 3000, "x" * 5000, " lead", "trail ", "a  b   c", "\n", "one\r\ntwo  three"]
     for text in texts * 2:  # the second time from what is known
         assert "".join(cut(" " + text)) == " " + text
-        assert aligner.text(text) == whole(aligner, text), text
+        assert shown(aligner, text) == whole(aligner, text), text
+
+
+def test_ranks_are_used_and_equal_the_library(spark, data, aligner):
+    assert aligner.a.by_ranks
+    texts = [r[0] for r in spark.read.parquet(f"{data}/documents.parquet").select("text").collect()]
+    for text in texts:
+        assert aligner.a.encode(" " + text) == aligner.a.tokenizer.encode(" " + text, add_special_tokens=False).ids
 
 
 def test_small_cache_gives_the_same(aligner, monkeypatch):
@@ -76,7 +88,7 @@ def test_small_cache_gives_the_same(aligner, monkeypatch):
     random.seed(5)
     for _ in range(100):
         text = " ".join(random.choices(["the", "house", "of", "ñandú", "is", "big", "qwrtz"], k=12))
-        assert aligner.text(text) == whole(aligner, text)
+        assert shown(aligner, text) == whole(aligner, text)
 
 
 def expected(aligner, rows):
