@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, decontaminate
+from strata.llm import chat, decontaminate, pivots
 from strata.llm.alignment import alignment_digests
 from strata.llm.bpe import encode_digests
 from strata.llm.divergence import quality
@@ -67,6 +67,18 @@ def op10_automaton_substring_dedup(spark: SparkSession, folder: str) -> DataFram
     return deduplicated(table(spark, folder, "documents"), span=35)
 
 
+def scaled(vectors: DataFrame) -> DataFrame:
+    """Components as floor(64 * x); a vector with one that is null, not finite or beyond a long is null."""
+    finite = "not exists(embedding, x -> x is null or isnan(x) or abs(64 * double(x)) >= 9.2e18D)"
+    whole = f"case when {finite} then transform(embedding, x -> floor(64 * double(x))) end"
+    return vectors.selectExpr("vec_id", f"{whole} as embedding")
+
+
+def op11_pivot_top_products(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = scaled(table(spark, folder, "embeddings"))
+    return pivots.top_products(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op12_diagonal_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     models = _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model")
     return alignment_digests(table(spark, folder, "documents"), *models)
@@ -104,6 +116,7 @@ QUERIES = {
     "op8_patience_license_scan": (op8_patience_license_scan, None),
     "op9_partenum_jaccard": (op9_partenum_jaccard, None),
     "op10_automaton_substring_dedup": (op10_automaton_substring_dedup, None),
+    "op11_pivot_top_products": (op11_pivot_top_products, pivots.SQL),
     "op12_diagonal_token_alignment": (op12_diagonal_token_alignment, None),
     "op13_periodic_runs": (op13_periodic_runs, None),
 }
