@@ -15,6 +15,7 @@ from strata.operators.transform import apply_transforms
 from strata.plans import config as meta
 from strata.sources import landing
 from strata.sources.contracts import required_columns
+from strata.sources.maintained import Maintained, apply_changes, current
 from strata.streaming.flows import MAX_FILES, read_batches, read_folder, refine
 
 
@@ -178,8 +179,9 @@ def refresh_silver(
 
     Each source schema of an input has its own contract, and so its own stream: it takes
     the rows of that schema, remembers its own place, and writes to its own folders, so
-    streams of one input never write over each other. Returns the target tables that were
-    fed.
+    streams of one input never write over each other. Every batch of mapped rows is then
+    committed to its target's maintained table, which costs what the batch touches. Returns
+    the target tables that were fed.
     """
     _, inputs = requested_inputs(dimension, runtime, test_mode)
     mappings = dimension.mappings()
@@ -199,6 +201,12 @@ def refresh_silver(
                 return map_entity(apply_transforms(df, changes), mapping)
 
             schema = item.schema.replace("/", "")
+            kept, exclude = maintained(tables, dimension, target)
+            feed = f"{table}-{schema}"
+
+            def upkeep(df: DataFrame, batch: int, kept=kept, exclude=exclude, feed=feed) -> None:
+                apply_changes(kept, df.drop(*exclude), feed, batch)
+
             arrived = read_folder(spark, place, landing.read_table(spark, place).schema, max_files)
             refine(
                 arrived.filter(F.col("source_schema").eqNullSafe(F.lit(item.schema))),
@@ -209,21 +217,39 @@ def refresh_silver(
                 f"{tables.silver('mapped', target)}/input={table}/of_schema={schema}",
                 f"{tables.silver('audit', 'dq')}/input={table}/of_target={target}/of_schema={schema}",
                 (dimension.name, target, table),
+                upkeep,
             )
             fed.append(target)
     return list(dict.fromkeys(fed))
 
 
-def entity(spark: SparkSession, tables: Tables, dimension: Dimension, target: str) -> DataFrame:
-    """The presented type 1 or type 2 table of one target, all sources together."""
+def maintained(tables: Tables, dimension: Dimension, target: str) -> tuple[Maintained, list[str]]:
+    """The table of a target that runs keep up to date, and the columns it leaves out."""
     settings = meta.cdc_settings(dimension.cdc, target)
     keys = [k.strip() for k in settings["key_attr"].split(",")]
     exclude = settings["exclude_columns"] or []
-    changes = read_batches(spark, tables.silver("mapped", target)).drop("input", "of_schema")
-    if settings["scd_type"] == "2":
-        versions = scd2(changes, keys, settings["sequence_col"], exclude=exclude)
-        return present_scd2(versions)
-    return scd1(changes, keys, settings["sequence_col"], exclude=exclude)
+    history = settings["scd_type"] == "2"
+    return Maintained(tables.silver("state", target), keys, settings["sequence_col"], history=history), exclude
+
+
+def entity(spark: SparkSession, tables: Tables, dimension: Dimension, target: str) -> DataFrame:
+    """The presented type 1 or type 2 table of one target, all sources together.
+
+    It is read as the runs have left it; :func:`derived_entity` gives the same rows from all
+    mapped batches.
+    """
+    kept, _ = maintained(tables, dimension, target)
+    rows = current(spark, kept)
+    return present_scd2(rows) if kept.history else rows
+
+
+def derived_entity(spark: SparkSession, tables: Tables, dimension: Dimension, target: str) -> DataFrame:
+    """The table of one target, derived anew from everything that was ever mapped to it."""
+    kept, exclude = maintained(tables, dimension, target)
+    changes = read_batches(spark, tables.silver("mapped", target)).drop("input", "of_schema", *exclude)
+    if kept.history:
+        return present_scd2(scd2(changes, kept.keys, kept.sequence))
+    return scd1(changes, kept.keys, kept.sequence)
 
 
 def audit(spark: SparkSession, tables: Tables) -> DataFrame:

@@ -17,10 +17,7 @@ from urllib.parse import unquote, urlsplit
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
-
-def _system(spark: SparkSession, name: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(name)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+from strata.sources.files import system_of, write_text
 
 
 def record(table: str) -> str:
@@ -28,7 +25,7 @@ def record(table: str) -> str:
 
 
 def keep_record(spark: SparkSession, table: str) -> None:
-    system, path = _system(spark, record(table))
+    system, path = system_of(spark, record(table))
     system.mkdirs(path)
 
 
@@ -42,15 +39,6 @@ def _files(spark: SparkSession, table: str) -> set[str]:
         raise
 
 
-def _write(spark: SparkSession, name: str, text: str) -> int:
-    """Write a small file; its time in milliseconds."""
-    system, path = _system(spark, name)
-    out = system.create(path, True)
-    out.write(bytearray(text.encode()))
-    out.close()
-    return system.getFileStatus(path).getModificationTime()
-
-
 @contextmanager
 def recorded(spark: SparkSession, table: str, folders: Sequence[str] = ()) -> Iterator[None]:
     """Record the folders in which files come or go meanwhile, and ``folders``.
@@ -60,13 +48,13 @@ def recorded(spark: SparkSession, table: str, folders: Sequence[str] = ()) -> It
     keep_record(spark, table)
     before = _files(spark, table)
     name = f"{record(table)}/{uuid.uuid4()}"
-    time = _write(spark, f"{name}.mark", "")
+    time = write_text(spark, f"{name}.mark", "")
     yield
-    _, root = _system(spark, table)
+    _, root = system_of(spark, table)
     top = root.toUri().getPath().rstrip("/")
     changed = {unquote(urlsplit(f).path).rsplit("/", 1)[0] for f in before ^ _files(spark, table)}
     inside = {f.split(f"{top}/", 1)[-1] if f != top else "" for f in changed}
-    _write(spark, f"{name}.json", json.dumps({"time": time, "folders": sorted({*inside, *folders})}))
+    write_text(spark, f"{name}.json", json.dumps({"time": time, "folders": sorted({*inside, *folders})}))
 
 
 def lost(spark: SparkSession, files: Sequence[tuple[str, int]]) -> list[str]:
@@ -75,7 +63,7 @@ def lost(spark: SparkSession, files: Sequence[tuple[str, int]]) -> list[str]:
 
     def reloads(table: str) -> list[dict] | None:
         if table not in records:
-            system, path = _system(spark, record(table))
+            system, path = system_of(spark, record(table))
             records[table] = None
             if system.exists(path):
                 pages = [str(s.getPath()) for s in system.listStatus(path) if str(s.getPath()).endswith(".json")]
@@ -84,7 +72,7 @@ def lost(spark: SparkSession, files: Sequence[tuple[str, int]]) -> list[str]:
 
     gone = []
     for name, time in files:
-        system, path = _system(spark, unquote(name))
+        system, path = system_of(spark, unquote(name))
         if system.exists(path):
             continue
         table, inside, known = path.getParent(), "", None
@@ -105,7 +93,7 @@ def _overwritten(spark: SparkSession, name: str) -> bool:
 
     Parts of one write share the middle of their names.
     """
-    system, path = _system(spark, unquote(name))
+    system, path = system_of(spark, unquote(name))
     folder, write = path.getParent(), path.getName().split(".")[0].split("-", 2)[-1].split("-c0")[0]
     there = [s.getPath().getName() for s in system.listStatus(folder)] if system.exists(folder) else []
     parts = [n for n in there if n.endswith(".parquet")]

@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 from strata.operators.ordered import row_hash
 from strata.operators.quality import Rule, assess, audit_records, check_fail_rules, clean_rows
 from strata.operators.scd import scd1, scd2
+from strata.sources.maintained import Maintained, apply_changes
 from strata.sources.reloads import lost
 
 BATCH, BUCKET = "batch_id", "bucket"
@@ -122,11 +123,13 @@ def refine(
     clean_table: str,
     audit_table: str,
     names: tuple[str, str, str],
+    then: Callable[[DataFrame, int], None] | None = None,
 ) -> None:
     """Type, check, and split each batch into clean rows and audit records.
 
     A violated fail rule stops the run before the batch writes anything. The typed
-    batch is read three times, so it is kept for the length of the batch.
+    batch is read three times, so it is kept for the length of the batch. ``then`` gets the
+    clean rows as they were written, and the number of the batch.
     """
 
     def write(df: DataFrame, batch: int) -> None:
@@ -138,10 +141,17 @@ def refine(
             write_batch(audit_records(assessed, *names), audit_table, batch)
         finally:
             kept.unpersist()
+        if then is not None:
+            then(df.sparkSession.read.parquet(batch_folder(clean_table, batch)), batch)
 
     drain(stream, checkpoint, write)
 
 
+def follow(stream: DataFrame, checkpoint: str, table: Maintained, feed: str) -> None:
+    """Keep a type 1 or type 2 table up to date; a batch costs what its changes touch."""
+    drain(stream, checkpoint, lambda df, batch: apply_changes(table, df, feed, batch))
+
+
 def follow_latest(
     stream: DataFrame, checkpoint: str, table: str, keys: Sequence[str], sequence: str, tie: str
 ) -> None:
