@@ -12,8 +12,8 @@ that no pair is missed.
 
 Signatures that several sets share give lists of candidates. Each list is first checked
 against one member; only where members are then still in different components are the
-remaining pairs of different components compared. Groups of copies settle in the first step
-and are never expanded into pairs. Before the texts of a pair are fetched, a bit map of each
+remaining pairs of different components compared, each in one of the lists it shares. Groups of
+copies settle in the first step and are never expanded into pairs. Before the texts of a pair are fetched, a bit map of each
 set is compared: sets differ in at least as many elements as their maps differ in bits.
 """
 
@@ -39,6 +39,8 @@ _LOWER[65:91] += 32
 BUCKET = 500_000
 #: 64-bit words of a set's bit map
 MAP = 16
+#: lists by which a pair is known to have been made in another list
+FIRST_LISTS = 64
 
 
 def shingles(text: bytes | None, size: int) -> np.ndarray:
@@ -357,9 +359,17 @@ def _open_pairs(
     )
     rows = lists.join(placed, "member")
     mixed = rows.groupBy("list").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p <> q")
-    rows = rows.join(mixed.select("list"), "list").join(maps.toDF("member", "set"), "member")
+    rows = save_and_read(rows.join(mixed.select("list"), "list"), "mixed")
+    # a pair that shares several lists is made in the least of them, if that is among the
+    # first of both; else in each
+    first = F.slice(F.array_sort(F.collect_set("list")), 1, FIRST_LISTS).alias("first")
+    rows = rows.join(rows.groupBy("member").agg(first), "member").join(maps.toDF("member", "set"), "member")
     rows = save_and_read(rows, "open")
-    one = rows.select("list", F.col("member").alias("x"), F.col("set").alias("a"), F.col("component").alias("c1"))
-    two = rows.select("list", F.col("member").alias("y"), F.col("set").alias("b"), F.col("component").alias("c2"))
-    pairs = one.join(two, "list").where("x < y and c1 <> c2").where(_plausible("a", "b", percent))
+    one = rows.select("list", F.col("member").alias("x"), F.col("set").alias("a"), F.col("component").alias("c1"),
+                      F.col("first").alias("f1"))
+    two = rows.select("list", F.col("member").alias("y"), F.col("set").alias("b"), F.col("component").alias("c2"),
+                      F.col("first").alias("f2"))
+    least = F.array_min(F.array_intersect("f1", "f2"))
+    once = F.coalesce(least == F.col("list"), F.lit(True))
+    pairs = one.join(two, "list").where("x < y and c1 <> c2").where(_plausible("a", "b", percent) & once)
     return save_and_read(pairs.select("x", "y").distinct().join(done, ["x", "y"], "left_anti"), "open_pairs")
