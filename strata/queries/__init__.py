@@ -14,6 +14,7 @@ from strata.queries import (
     measures,
     metadata,
     quality,
+    runs,
     shaping,
     streams,
     validity,
@@ -22,7 +23,7 @@ from strata.queries import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 _MODULES = (
-    landing, shaping, quality, capture, history, validity, metadata, streams, measures, exports,
+    landing, shaping, quality, capture, history, validity, metadata, streams, runs, measures, exports,
 )
 
 
