@@ -297,11 +297,12 @@ def similarity_components(docs: DataFrame, size: int = 5, percent: int = 80) ->
     several = owners.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a <> z")
     several = owners.join(several, "doc_id").select("a", F.col("id").alias("b"))
     links = save_and_read(links.unionByName(several), "all_links")
-    rest = _open_pairs(lists, classes, components(links), maps, first, percent)
+    found = components(links)
+    rest = _open_pairs(lists, classes, found, maps, first, percent)
     more = save_and_read(_verified(rest, texts, size, percent), "similar")
     if not more.isEmpty():
-        links = links.unionByName(more)
-    found = components(links)
+        # what is joined already stays so
+        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     named = classes.join(found, classes["id"] == found["node"], "left").select(
         *same, F.coalesce("component", "id").alias("component_id")
     )
