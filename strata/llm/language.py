@@ -3,14 +3,16 @@
 Subwords are the runs of one to four letters of a word, with its edges as a mark. Their
 hashed embeddings are averaged over the whole text and go through one linear layer. The
 model is trained by stochastic gradient descent in numpy on a bounded sample of labelled
-documents, spread over the languages; a part of the sample is held back to set the
-temperature of the softmax and the score below which a prediction is rejected.
+documents, spread over the languages, and on gibberish made of some of them, which is a
+class of its own. A part of the sample is held back to set the temperature of the softmax
+and how far the gibberish class must lead before a text is rejected.
 """
 
 from __future__ import annotations
 
 import functools
 import sys
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -24,6 +26,8 @@ from strata.llm.words import mix
 
 BITS, LONGEST = 14, 4
 UNKNOWN = "und"
+#: of so many sampled texts one is also turned into gibberish, the class of rejected texts
+GIBBERISH = 4
 #: code points at once, so that a very long text costs bounded memory
 _STEP = 1 << 20
 
@@ -65,15 +69,32 @@ def subwords(text: str) -> np.ndarray:
     return counts
 
 
+def gibberish(text: str) -> str:
+    """The text with every letter drawn anew, the rest as it is: from its own letters, all equally
+    likely, or from up to 64 letters in a row of any script."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).copy()
+    letter = _letters()[points]
+    rng = np.random.default_rng(zlib.crc32(text.encode("utf-8", "surrogatepass")))
+    if letter.any():
+        if rng.random() < 0.5:
+            drawn = np.unique(points[letter])
+        else:
+            every = np.flatnonzero(_letters()).astype(np.uint32)
+            drawn = every[rng.integers(len(every)) :][: rng.integers(16, 65)]
+        points[letter] = rng.choice(drawn, int(letter.sum()))
+    return points.tobytes().decode("utf-32-le", "surrogatepass")
+
+
 @dataclass(frozen=True)
 class Model:
-    """``table`` holds, for each bucket, the embedding already taken through the softmax layer."""
+    """``table`` holds, for each bucket, the embedding already taken through the softmax layer.
+    Its last column is the class of gibberish."""
 
     languages: tuple[str, ...]
     table: np.ndarray
     bias: np.ndarray
     temperature: float
-    reject_below: float
+    reject_above: float
 
     def __call__(self, text: str | None) -> tuple[str, float, bool]:
         """Language, calibrated score, rejected."""
@@ -82,10 +103,11 @@ class Model:
         if not total or not self.languages:
             return UNKNOWN, 0.0, True
         used = np.flatnonzero(counts)
-        p = _softmax(((counts[used] / total) @ self.table[used] + self.bias) / self.temperature)
+        logits = (counts[used] / total) @ self.table[used] + self.bias
+        p = _softmax(logits[:-1] / self.temperature)
         best = int(np.argmax(p))
-        score = float(min(1.0, p[best]))
-        return self.languages[best], score, score < self.reject_below
+        rejected = bool(logits[-1] - logits[best] > self.reject_above)
+        return self.languages[best], float(min(1.0, p[best])), rejected
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -94,23 +116,29 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def train(
-    rows: list[tuple[str, np.ndarray, np.ndarray]],
+    rows: list[tuple[str | None, np.ndarray, np.ndarray]],
     size: int = 16,
     epochs: int = 6,
     rate: float = 2.0,
     held_back: int = 5,
     rejected_share: float = 0.001,
 ) -> Model:
-    """``rows``: language, buckets, their share of the text. One row in ``held_back`` calibrates."""
-    languages = tuple(sorted({r[0] for r in rows}))
+    """``rows``: language (None: gibberish), buckets, their share of the text.
+
+    One row of a language in ``held_back`` calibrates. A text is rejected if the logit of
+    gibberish is above that of the best language, and further above than in all but
+    ``rejected_share`` of the held-back rows.
+    """
+    languages = tuple(sorted({r[0] for r in rows if r[0] is not None}))
     if not languages:
-        return Model((), np.zeros((1 << BITS, 0)), np.zeros(0), 1.0, 0.0)
-    number = {x: i for i, x in enumerate(languages)}
+        return Model((), np.zeros((1 << BITS, 1)), np.zeros(1), 1.0, 0.0)
+    number = {x: i for i, x in enumerate([*languages, None])}
     rng = np.random.default_rng(7)
-    order = rng.permutation(len(rows))
+    order = rng.permutation([i for i, r in enumerate(rows) if r[0] is not None])
     held, used = order[::held_back], [i for k, i in enumerate(order) if k % held_back]
+    used += [i for i, r in enumerate(rows) if r[0] is None]
     embed = rng.normal(0, 0.1, (1 << BITS, size))
-    layer, bias = rng.normal(0, 0.1, (size, len(languages))), np.zeros(len(languages))
+    layer, bias = rng.normal(0, 0.1, (size, len(number))), np.zeros(len(number))
     steps = max(1, epochs * len(used))
     for step, i in enumerate(rng.permutation(used) for _ in range(epochs)):
         for k, j in enumerate(i):
@@ -128,12 +156,11 @@ def train(
     truth = np.array([number[rows[i][0]] for i in held])
 
     def loss(t: float) -> float:
-        return -np.log(_softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean()
+        return -np.log(_softmax(logits[:, :-1] / t)[np.arange(len(truth)), truth] + 1e-12).mean()
 
     temperature = float(min(np.geomspace(0.05, 20, 60), key=loss))
-    scores = _softmax(logits / temperature).max(axis=1)
-    # short clean texts are seldom below this
-    reject = float(min(np.quantile(scores, rejected_share), 0.4))
+    lead = logits[:, -1] - logits[:, :-1].max(axis=1)
+    reject = float(max(np.quantile(lead, 1 - rejected_share), 0))
     return Model(languages, table.astype(np.float32), bias, temperature, reject)
 
 
@@ -159,11 +186,12 @@ def fit(docs: DataFrame, per_language: int = 800) -> Model:
 
     def make() -> Callable[[tuple], Iterable[tuple]]:
         def one(row: tuple) -> Iterable[tuple]:
-            found = subwords(row[2].decode())
+            text = row[2].decode()
+            found = subwords(text)
             if found.any():
-                used = np.flatnonzero(found)
-                share = (found[used] / found.sum()).astype(np.float32)
-                yield (row[0] or b"").decode(), row[1].decode(), used.astype(np.int32).tobytes(), share.tobytes()
+                yield (row[0] or b"").decode(), row[1].decode(), *_sparse(found)
+                if zlib.crc32(row[2]) % GIBBERISH == 0:
+                    yield (row[0] or b"").decode(), None, *_sparse(subwords(gibberish(text)))
 
         return one
 
@@ -171,8 +199,14 @@ def fit(docs: DataFrame, per_language: int = 800) -> Model:
         sample.select(F.col("doc_id").cast("string").alias("id"), "lang", "text"),
         ["id", "lang", "text"], "id string, lang string, buckets binary, share binary", make,
     )
-    rows = sorted(map(tuple, sparse.collect()))
-    return train([(r[1], np.frombuffer(r[2], np.int32), np.frombuffer(r[3], np.float32)) for r in rows])
+    rows = sorted(sparse.collect(), key=lambda r: (r.id, r.lang or "", r.buckets, r.share))
+    return train([(r.lang, np.frombuffer(r.buckets, np.int32), np.frombuffer(r.share, np.float32)) for r in rows])
+
+
+def _sparse(counts: np.ndarray) -> tuple[bytes, bytes]:
+    used = np.flatnonzero(counts)
+    share = (counts[used] / counts.sum()).astype(np.float32)
+    return used.astype(np.int32).tobytes(), share.tobytes()
 
 
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
@@ -199,19 +233,21 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
 def accepted(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """The rows of ``docs``, all columns, whose language is not rejected (see ``identify``).
 
-    A table without anything to learn from is returned as it is.
+    Where there is nothing to learn from, only texts without letters go.
     """
     model = model or fit(docs)
-    if not model.languages:
-        return docs
     bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = shared.value
+
+        def keep(text: str | None) -> bool:
+            return not predict(text)[2] if predict.languages else bool(text and subwords(text).any())
+
         for batch in batches:
-            kept = [not predict(text)[2] for text in batch.column(at).to_pylist()]
+            kept = [keep(text) for text in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
