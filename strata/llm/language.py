@@ -5,7 +5,9 @@ hashed embeddings are averaged over the whole text and go through one linear lay
 model is trained by stochastic gradient descent in numpy on a bounded sample of labelled
 documents, spread over the languages, and on gibberish made of some of them, which is a
 class of its own. A part of the sample is held back to set the temperature of the softmax
-and how far the gibberish class must lead before a text is rejected.
+and the evidence for gibberish above which a text is rejected. Evidence is the lead of the
+gibberish class, which is a mean over subwords, times the root of their number: a short
+text can lead by chance.
 """
 
 from __future__ import annotations
@@ -106,7 +108,7 @@ class Model:
         logits = (counts[used] / total) @ self.table[used] + self.bias
         p = _softmax(logits[:-1] / self.temperature)
         best = int(np.argmax(p))
-        rejected = bool(logits[-1] - logits[best] > self.reject_above)
+        rejected = bool((logits[-1] - logits[best]) * total**0.5 > self.reject_above)
         return self.languages[best], float(min(1.0, p[best])), rejected
 
 
@@ -116,33 +118,34 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def train(
-    rows: list[tuple[str | None, np.ndarray, np.ndarray]],
+    rows: list[tuple[str | None, np.ndarray, np.ndarray, float]],
     size: int = 16,
     epochs: int = 6,
     rate: float = 2.0,
     held_back: int = 5,
     rejected_share: float = 0.001,
 ) -> Model:
-    """``rows``: language (None: gibberish), buckets, their share of the text.
+    """``rows``: language (None: gibberish), buckets, their share of the text, number of subwords.
 
-    One row of a language in ``held_back`` calibrates. A text is rejected if the logit of
-    gibberish is above that of the best language, and further above than in all but
-    ``rejected_share`` of the held-back rows.
+    One row in ``held_back`` calibrates. The limit of rejection is half the evidence that 95 %
+    of the held-back gibberish exceeds, at least the one that ``rejected_share`` of the other
+    held-back rows exceed, and never below zero.
     """
     languages = tuple(sorted({r[0] for r in rows if r[0] is not None}))
     if not languages:
         return Model((), np.zeros((1 << BITS, 1)), np.zeros(1), 1.0, 0.0)
     number = {x: i for i, x in enumerate([*languages, None])}
     rng = np.random.default_rng(7)
-    order = rng.permutation([i for i, r in enumerate(rows) if r[0] is not None])
-    held, used = order[::held_back], [i for k, i in enumerate(order) if k % held_back]
-    used += [i for i, r in enumerate(rows) if r[0] is None]
+    order = rng.permutation(len(rows))
+    real, noise = ([i for i in order if (rows[i][0] is None) == x] for x in (False, True))
+    held, wild = real[::held_back], noise[::held_back]
+    used = [i for some in (real, noise) for k, i in enumerate(some) if k % held_back]
     embed = rng.normal(0, 0.1, (1 << BITS, size))
     layer, bias = rng.normal(0, 0.1, (size, len(number))), np.zeros(len(number))
     steps = max(1, epochs * len(used))
     for step, i in enumerate(rng.permutation(used) for _ in range(epochs)):
         for k, j in enumerate(i):
-            language, buckets, share = rows[j]
+            language, buckets, share, _ = rows[j]
             eta = rate * (1 - (step * len(used) + k) / steps)
             hidden = share @ embed[buckets]
             wrong = _softmax(hidden @ layer + bias)
@@ -152,15 +155,23 @@ def train(
             bias -= 0.1 * eta * wrong
             embed[buckets] -= eta * np.outer(share, back)
     table = embed @ layer
-    logits = np.array([rows[i][2] @ table[rows[i][1]] + bias for i in held])
+
+    def outputs(of: list[int]) -> np.ndarray:
+        return np.array([rows[i][2] @ table[rows[i][1]] + bias for i in of])
+
+    def evidence(of: list[int], logits: np.ndarray) -> np.ndarray:
+        return (logits[:, -1] - logits[:, :-1].max(axis=1)) * np.sqrt([rows[i][3] for i in of])
+
+    logits = outputs(held)
     truth = np.array([number[rows[i][0]] for i in held])
 
     def loss(t: float) -> float:
         return -np.log(_softmax(logits[:, :-1] / t)[np.arange(len(truth)), truth] + 1e-12).mean()
 
     temperature = float(min(np.geomspace(0.05, 20, 60), key=loss))
-    lead = logits[:, -1] - logits[:, :-1].max(axis=1)
-    reject = float(max(np.quantile(lead, 1 - rejected_share), 0))
+    reject = max(0.0, float(np.quantile(evidence(held, logits), 1 - rejected_share)))
+    if wild:
+        reject = max(reject, 0.5 * float(np.quantile(evidence(wild, outputs(wild)), 0.05)))
     return Model(languages, table.astype(np.float32), bias, temperature, reject)
 
 
@@ -197,16 +208,17 @@ def fit(docs: DataFrame, per_language: int = 800) -> Model:
 
     sparse = per_row(
         sample.select(F.col("doc_id").cast("string").alias("id"), "lang", "text"),
-        ["id", "lang", "text"], "id string, lang string, buckets binary, share binary", make,
+        ["id", "lang", "text"], "id string, lang string, buckets binary, share binary, total double", make,
     )
     rows = sorted(sparse.collect(), key=lambda r: (r.id, r.lang or "", r.buckets, r.share))
-    return train([(r.lang, np.frombuffer(r.buckets, np.int32), np.frombuffer(r.share, np.float32)) for r in rows])
+    return train(
+        [(r.lang, np.frombuffer(r.buckets, np.uint16), np.frombuffer(r.share, np.float32), r.total) for r in rows]
+    )
 
 
-def _sparse(counts: np.ndarray) -> tuple[bytes, bytes]:
-    used = np.flatnonzero(counts)
-    share = (counts[used] / counts.sum()).astype(np.float32)
-    return used.astype(np.int32).tobytes(), share.tobytes()
+def _sparse(counts: np.ndarray) -> tuple[bytes, bytes, float]:
+    used, total = np.flatnonzero(counts), counts.sum()
+    return used.astype(np.uint16).tobytes(), (counts[used] / total).astype(np.float32).tobytes(), float(total)
 
 
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
