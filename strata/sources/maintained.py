@@ -110,18 +110,27 @@ def _newest(table: Maintained, rows: DataFrame) -> DataFrame:
     return latest_per_key(rows, table.position, order)
 
 
-def _current(spark: SparkSession, table: Maintained, commit: Commit, since=None) -> DataFrame:
+def _current(
+    spark: SparkSession, table: Maintained, commit: Commit, since=None, only: DataFrame | None = None
+) -> DataFrame:
     """Rows of a commit, with the columns of its upkeep.
 
-    ``since`` leaves out versions that ended before it; the base is pruned by it.
+    ``since`` leaves out versions that ended before it; the base is pruned by it. ``only``
+    lists values of some key columns; other keys are left out before anything is shuffled.
     """
 
     def late(df: DataFrame) -> DataFrame:
         return df if since is None else df.where(F.col(END).isNull() | (F.col(END) >= F.lit(since)))
 
+    def read(folders: Sequence[str]) -> DataFrame:
+        rows = _rows(spark, table, commit, folders)
+        if only is None:
+            return rows
+        return rows.join(_prefixed(only, only.columns, "o_"), _same(only.columns, "o_"), "left_semi")
+
     base = None
     if commit.base:
-        base = _rows(spark, table, commit, [commit.base])
+        base = read([commit.base])
         if table.history:
             # two scans, so that folders and row groups can be left out
             closed = base.where(F.col(OPEN) == 0)
@@ -129,7 +138,7 @@ def _current(spark: SparkSession, table: Maintained, commit: Commit, since=None)
             base = base.where(F.col(OPEN) == 1).unionByName(closed).drop(OPEN)
     if not commit.deltas:
         return base
-    newest = _newest(table, _rows(spark, table, commit, commit.deltas))
+    newest = _newest(table, read(commit.deltas))
     if base is None:
         return late(newest)
     if not table.history:
@@ -255,13 +264,39 @@ def expire(spark: SparkSession, table: Maintained, keep: int = 2) -> list[str]:
     return gone
 
 
-def current(spark: SparkSession, table: Maintained, number: int | None = None) -> DataFrame:
+def changed_keys(
+    spark: SparkSession, table: Maintained, since: int, columns: Sequence[str] | None = None, number: int | None = None
+) -> DataFrame:
+    """Keys, or some of their columns, of all rows that commits after ``since`` have brought or moved.
+
+    Folders that were written up to ``since`` are not read; of later ones that hold older rows
+    too, row groups are left out by the commit number of their rows.
+    """
+    columns = [*(columns or table.keys)]
+    if not set(columns) <= set(table.keys):
+        raise ValueError(f"{columns} are not key columns of {table.root}")
+    commit = read_commit(spark, table, number)
+    if commit is None:
+        raise LookupError(f"{table.root} has no commit{'' if number is None else f' {number}'}")
+    written = [f for f in (commit.base, *commit.deltas) if f and int(f.split("-")[1]) > since]
+    # a base may have folders of its own, deltas have none
+    parts = [p for p in ([f for f in written if f == commit.base], [f for f in written if f != commit.base]) if p]
+    if not parts:
+        return spark.createDataFrame([], StructType([commit.columns[c] for c in columns]))
+    later = [_rows(spark, table, commit, p).where(F.col(COMMIT) > since).select(*columns) for p in parts]
+    return reduce(DataFrame.unionByName, later).distinct()
+
+
+def current(
+    spark: SparkSession, table: Maintained, number: int | None = None, only: DataFrame | None = None
+) -> DataFrame:
     """The table as of a commit, without a number the last: for type 1 the latest change of each
-    key, for type 2 all versions with ``start_at`` and ``end_at``."""
+    key, for type 2 all versions with ``start_at`` and ``end_at``. ``only`` lists the values of
+    some key columns whose rows are wanted."""
     commit = read_commit(spark, table, number)
     if commit is None:
         raise LookupError(f"{table.root} has no commit{'' if number is None else f' {number}'}")
-    rows = _current(spark, table, commit).drop(HASH, COMMIT)
+    rows = _current(spark, table, commit, only=only).drop(HASH, COMMIT)
     if not table.history:
         return rows
     return rows.withColumn("start_at", F.col(table.sequence)).withColumnRenamed(END, "end_at")
