@@ -13,7 +13,7 @@ from strata.operators.mapping import EntityMapping, choose_mapping, map_entity
 from strata.operators.scd import present_scd2, scd1, scd2
 from strata.operators.transform import apply_transforms
 from strata.plans import config as meta
-from strata.sources import landing
+from strata.sources import landing, rebuilt
 from strata.sources.contracts import required_columns
 from strata.sources.maintained import Maintained, apply_changes, current
 from strata.streaming.flows import MAX_FILES, read_batches, read_folder, refine
@@ -252,6 +252,33 @@ def derived_entity(spark: SparkSession, tables: Tables, dimension: Dimension, ta
     return scd1(changes, kept.keys, kept.sequence)
 
 
+def gold_table(tables: Tables, name: str, keys: Sequence[str]) -> rebuilt.Rebuilt:
+    """A gold table that runs keep up to date; each silver generation has its own."""
+    return rebuilt.Rebuilt(tables.silver("gold", name), keys)
+
+
+def refresh_gold(
+    spark: SparkSession,
+    tables: Tables,
+    dimension: Dimension,
+    gold: rebuilt.Rebuilt,
+    targets: Sequence[str],
+    build: Callable[..., DataFrame],
+    whole: bool = False,
+) -> rebuilt.State:
+    """Build gold anew for the keys that silver commits have touched since the last refresh.
+
+    ``build`` takes the presented ``targets`` in order. Its rows of a key must follow from
+    the key's own rows, and the key must be part of every target's key.
+    """
+    kept = {target: maintained(tables, dimension, target)[0] for target in targets}
+
+    def made(*rows: DataFrame) -> DataFrame:
+        return build(*(present_scd2(r) if k.history else r for r, k in zip(rows, kept.values(), strict=True)))
+
+    return rebuilt.refresh(spark, gold, kept, made, whole)
+
+
 def audit(spark: SparkSession, tables: Tables) -> DataFrame:
     return read_batches(spark, tables.silver("audit", "dq")).drop("input", "of_target", "of_schema")
 

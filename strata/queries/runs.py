@@ -8,16 +8,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.scd import present_scd2
+from strata.operators.temporal import Intervals, islands, timeline, trim
 from strata.plans import config as meta
 from strata.plans import group_dimension as dim
 from strata.plans.medallion import (
     Dimension, Tables, audit, entity, full_refresh, load_landing, publish, published, refresh_silver,
 )
-from strata.queries import history
+from strata.queries import history, validity
 from strata.queries.tables import day, table
 from strata.session import new_folder
-from strata.sources import landing
-from strata.sources.maintained import Maintained, current
+from strata.sources import landing, rebuilt
+from strata.sources.maintained import Maintained, apply_changes, current
 from strata.streaming import flows
 
 
@@ -54,6 +55,54 @@ def two_feeds(spark: SparkSession, folder: str) -> DataFrame:
     return present_scd2(versions.drop("Row_Is_Deleted_Ind"), deleted=None)
 
 
+def _gold(names: DataFrame, states: DataFrame, counts: DataFrame) -> DataFrame:
+    """Closed-day timeline of every customer, as :func:`validity.gold_dimension` has it."""
+    shown = present_scd2(states, deleted=None)
+    lines = [
+        (Intervals(shown, validity.K, "Row_Effective_Date", "Row_Term_Date"), ["status"]),
+        (Intervals(counts, validity.K, "eff", "term"), ["n"]),
+    ]
+    rows = timeline(lines, "s", "e").join(names.select("k", "group_name", "type_code"), validity.K)
+    merged = islands(rows.withColumn("yr", F.year("s")), validity.K, validity.ATTRIBUTES, "s", "e")
+    return trim(merged, validity.K, "s", "e").withColumnsRenamed({"s": "eff", "e": "term"})
+
+
+def gold_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """Names, order states and yearly counts arrive in two deliveries; the second brings the
+    later halves of years of one customer in four, and corrects one name in ten. Gold is
+    refreshed after each, the second time by the touched customers only."""
+    root = new_folder(spark, "derived")
+    inputs = {
+        "names": Maintained(f"{root}/names", validity.K, "business_date"),
+        "states": Maintained(f"{root}/states", validity.K, "business_date", history=True),
+        "counts": Maintained(f"{root}/counts", [*validity.K, "eff"], "business_date"),
+    }
+    orders = table(spark, folder, "orders").select(
+        F.col("o_custkey").alias("k"), F.col("o_orderstatus").alias("status"),
+        day("o_orderdate").alias("business_date"), F.col("o_orderkey").alias("processing_time"),
+    )
+    late = (F.col("k") % 4 == 0) & (F.month("business_date") > 6)
+    years = orders.groupBy("k", F.trunc("business_date", "year").alias("eff")).agg(
+        F.count("*").alias("n"), F.count_if(late).alias("n_late")
+    )
+    corrected = F.col("k") % 10 == 0
+    for number in (1, 2):
+        stamps = {"business_date": F.lit("2025-04-08").cast("date"), "processing_time": F.lit(number).cast("long")}
+        names = validity.entities(spark, folder).withColumns(stamps)
+        counts = years.withColumn("term", F.add_months("eff", 12)).withColumns(stamps)
+        if number == 1:
+            names = names.withColumn("group_name", F.when(corrected, "?").otherwise(F.col("group_name")))
+            states = orders.filter(~late)
+            counts = counts.withColumn("n", F.col("n") - F.col("n_late")).filter("n <> 0")
+        else:
+            names, states, counts = names.filter(corrected), orders.filter(late), counts.filter("n_late <> 0")
+        for kept, changes in zip(inputs.values(), (names, states, counts.drop("n_late")), strict=True):
+            apply_changes(kept, changes, "feed", number)
+        gold = rebuilt.Rebuilt(f"{root}/gold", validity.K)
+        rebuilt.refresh(spark, gold, inputs, _gold)
+    return rebuilt.shown(spark, gold)
+
+
 class _Counts:
     """A dimension fed with the orders of each customer and day as its employee counts."""
 
@@ -175,6 +224,7 @@ QUERIES = {
     "kept_scd1": (kept_scd1, history.SCD1_LATEST),
     "kept_scd2": (kept_scd2, history.SCD2_HISTORY),
     "kept_two_feeds": (two_feeds, history.SCD2_HISTORY),
+    "kept_gold": (gold_refresh, validity.GOLD),
     "run_incremental": (incremental_run, INCREMENTAL_RUN),
     "run_full_refresh": (refreshed_run, FULL_REFRESH),
     "run_configured_rules": (configured_rules, CONFIGURED_RULES),

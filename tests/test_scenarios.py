@@ -15,14 +15,16 @@ from strata.plans.medallion import (
     derived_entity,
     entity,
     full_refresh,
+    gold_table,
     load_landing,
     maintained,
     newest,
     publish,
     published,
+    refresh_gold,
     refresh_silver,
 )
-from strata.sources import landing
+from strata.sources import landing, rebuilt
 from strata.sources.maintained import commits, read_commit
 
 GROUPS, COUNTED, SECOND = 1000, 500, 500
@@ -119,6 +121,15 @@ class World:
             derived = derived_entity(self.spark, self.tables, self.dimension, name).select(*kept.columns)
             assert kept.exceptAll(derived).isEmpty() and derived.exceptAll(kept).isEmpty()
 
+    def refresh_gold(self, build=dim.gold):
+        """The gold table after a refresh, which must equal one built from everything."""
+        names = ("DF_Group", "DF_Group_History", "DF_Group_Count")
+        gold = gold_table(self.tables, "d_group", ["Group_Source_Key", "Source_System_Code"])
+        state = refresh_gold(self.spark, self.tables, self.dimension, gold, names, build)
+        kept, whole = rebuilt.shown(self.spark, gold), build(*map(self.entity, names))
+        assert kept.exceptAll(whole).isEmpty() and whole.exceptAll(kept).isEmpty()
+        return gold, state
+
     def landed(self, name):
         return landing.read_table(self.spark, self.tables.landing(name))
 
@@ -235,6 +246,7 @@ def test_5b_kept_tables_equal_derived_ones(world):
 
 def test_5c_a_small_run_touches_little(world):
     spark = world.spark
+    _, gold = world.refresh_gold()
     place = f"{world.raw}/small/20250501"
     group_feed(spark, 200, 203, "small ", day="2025-05-01").drop("transaction_dtm").write.parquet(place)
     kept, _ = maintained(world.tables, world.dimension, "DF_Group_History")
@@ -246,6 +258,10 @@ def test_5c_a_small_run_touches_little(world):
     assert after.base == before.base and after.delta_rows - before.delta_rows == 2 * len(good)
     assert len(commits(spark, kept)) == after.number
     world.assert_kept()
+    place, later = world.refresh_gold()
+    assert later.base == gold.base and gold.deltas == []
+    rebuilt_keys = spark.read.parquet(f"{place.root}/keys-{later.number}")
+    assert {r.Group_Source_Key for r in rebuilt_keys.collect()} == {str(n) for n in good}
 
 
 def test_6_gold_over_all_sources(world):
