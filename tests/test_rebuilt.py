@@ -126,6 +126,27 @@ def test_added_columns_and_whole_builds(spark, tmp_path):
         r.refresh(spark, table, kept, lambda n, s: wide(n, s).withColumn("size", F.lit("text")))
 
 
+def test_plans_read_little(spark, tmp_path):
+    kept, table = fed(spark, tmp_path)
+    first = r.refresh(spark, table, kept, build)
+    m.apply_changes(kept["states"], frame(spark, [("b", "x", 5, 1, "q")]), "feed", 1)
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    # later commits only, and of their rows the later ones
+    keys = m.changed_keys(spark, kept["states"], first.inputs["states"], ["k"])
+    assert "GreaterThan(__commit," in plan(keys) and "base-" not in keys.inputFiles()[0]
+    # other keys go before rows are brought together: below every window of the plan
+    lines = plan(m.current(spark, kept["states"], only=keys)).splitlines()
+    depth = [len(x) - len(x.lstrip(" :+-*")) for x in lines]
+    windows = [i for i, x in enumerate(lines) if x.lstrip(" :+-*").startswith("Window")]
+    assert windows
+    for i in windows:
+        end = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+        assert any("LeftSemi" in x for x in lines[i:end])
+
+
 def test_expired_states_go(spark, tmp_path):
     kept, table = fed(spark, tmp_path)
     for batch in range(1, 5):
