@@ -43,16 +43,17 @@ def snapshot_deletes(
     """The snapshot plus one delete row per live key it no longer contains.
 
     Without a landing table (first load) the snapshot is returned unchanged. A key
-    that was deleted before is not deleted again. NULL keys match each other.
+    that was deleted before is not deleted again. NULL keys match each other. Keys that the
+    snapshot holds leave before the last rows of the others are sought, so only these are
+    sorted.
     """
     if operation not in snapshot.columns:
         snapshot = snapshot.withColumn(operation, F.lit(SNAPSHOT_ROW))
     if landing is None:
         return snapshot
-    live = live_rows(landing, keys, sequence, operation)
     present = _prefixed(snapshot, keys, "n_").distinct()
-    gone = live.join(present, _same(keys, "", "n_"), "left_anti")
-    gone = gone.withColumn(operation, F.lit(DELETE))
+    absent = landing.join(present, _same(keys, "", "n_"), "left_anti")
+    gone = live_rows(absent, keys, sequence, operation).withColumn(operation, F.lit(DELETE))
     shared = [F.col(f"`{c}`") for c in snapshot.columns if c in gone.columns]
     return snapshot.unionByName(gone.select(*shared), allowMissingColumns=True)
 

@@ -163,6 +163,7 @@ def load_landing(
                 refresh=refresh,
                 correction=correction,
                 source_schema=item.schema,
+                one_date=date_column is None,
             )
 
 
@@ -205,7 +206,8 @@ def refresh_silver(
             feed = f"{table}-{schema}"
 
             def upkeep(df: DataFrame, batch: int, kept=kept, exclude=exclude, feed=feed) -> None:
-                apply_changes(kept, df.drop(*exclude), feed, batch)
+                # as the batch has just been written, its size stands in the files' footers
+                apply_changes(kept, df.drop(*exclude), feed, batch, df.count())
 
             arrived = read_folder(spark, place, landing.read_table(spark, place).schema, max_files)
             refine(

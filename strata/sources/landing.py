@@ -84,25 +84,27 @@ def stamp(
     )
 
 
-def spread_by_date(df: DataFrame) -> DataFrame:
+def spread_by_date(df: DataFrame, one_date: bool = False) -> DataFrame:
     """Bring rows of a date together for writing, without one task per date.
 
     ``rebalance`` lets the adaptive planner split a large date over several tasks and
     join small ones, so files get a useful size and a hot date does not serialise.
+    Rows of ``one_date`` stay where they are: any task's rows fill one file, and brought
+    together they would all meet in one partition.
     """
-    return df.hint("rebalance", F.col(BUSINESS_DATE))
+    return df if one_date else df.hint("rebalance", F.col(BUSINESS_DATE))
 
 
-def append(df: DataFrame, table: str) -> None:
+def append(df: DataFrame, table: str, one_date: bool = False) -> None:
     keep_record(df.sparkSession, table)
-    spread_by_date(df).write.mode("append").partitionBy(BUSINESS_DATE).parquet(table)
+    spread_by_date(df, one_date).write.mode("append").partitionBy(BUSINESS_DATE).parquet(table)
 
 
-def overwrite(df: DataFrame, table: str) -> None:
+def overwrite(df: DataFrame, table: str, one_date: bool = False) -> None:
     """Full refresh: the table holds these rows only."""
     with recorded(df.sparkSession, table, [""]):
         (
-            spread_by_date(df)
+            spread_by_date(df, one_date)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .partitionBy(BUSINESS_DATE)
@@ -208,6 +210,7 @@ def load(
     refresh: str = "incremental_refresh",
     correction: str | None = None,
     source_schema: str | None = None,
+    one_date: bool = False,
 ) -> None:
     """Load stamped rows of one input into its landing table.
 
@@ -215,7 +218,7 @@ def load(
     source sends its own operation codes. Delete rows carry the run's date and, if it is
     given, its source schema, whatever schema their key came under. Every row
     carries the number of its load, which settles what is the last word on a key that
-    came and went within one date.
+    came and went within one date. ``one_date`` says that all rows carry the run's date.
     """
     before = read_table_if_any(spark, table)
     known = before is not None and LOAD in before.columns
@@ -233,8 +236,8 @@ def load(
             rows = rows.withColumn("source_schema", schema)
     rows = rows.withColumn(LOAD, F.lit(number).cast("long"))
     if refresh == "full_refresh":
-        overwrite(rows, table)
+        overwrite(rows, table, one_date)
     elif correction == "file_correction":
         correct_file(rows, table, run_date)
     else:
-        append(rows, table)
+        append(rows, table, one_date)

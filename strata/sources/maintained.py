@@ -138,7 +138,8 @@ def _current(
             base = base.where(F.col(OPEN) == 1).unionByName(closed).drop(OPEN)
     if not commit.deltas:
         return base
-    newest = _newest(table, read(commit.deltas))
+    # a single delta holds no position twice
+    newest = read(commit.deltas) if len(commit.deltas) == 1 else _newest(table, read(commit.deltas))
     if base is None:
         return late(newest)
     if not table.history:
@@ -183,11 +184,13 @@ def _merged(known: StructType | None, new: StructType) -> StructType:
     return StructType([StructField(n, t) for n, t in types.items()])
 
 
-def apply_changes(table: Maintained, changes: DataFrame, feed: str, batch: int) -> Commit:
+def apply_changes(table: Maintained, changes: DataFrame, feed: str, batch: int, size: int | None = None) -> Commit:
     """Commit a batch of changes; a batch of a feed that was committed before is left out.
 
     Positions are (sequence, tie) within a key. Late changes take their place, equal
-    positions are settled by a content hash, as in :mod:`strata.operators.scd`.
+    positions are settled by a content hash, as in :mod:`strata.operators.scd`. Where the
+    ``size`` of the batch is known, one for which a type 1 table would be folded goes into
+    the new base at once, without a delta.
     """
     spark = changes.sparkSession
     last = read_commit(spark, table)
@@ -196,6 +199,9 @@ def apply_changes(table: Maintained, changes: DataFrame, feed: str, batch: int)
     rows = changes.withColumn(HASH, row_hash(changes))
     if last:
         _merged(last.columns, rows.schema)
+        large = size is not None and last.delta_rows + size > table.fold * last.base_rows
+        if large and last.base and not table.history:
+            return _fold(spark, table, last, rows, {**last.fed, feed: batch})
     if table.history:
         delta = _moved(spark, table, last, rows)
     else:
@@ -222,11 +228,29 @@ def apply_changes(table: Maintained, changes: DataFrame, feed: str, batch: int)
     return merge_deltas(spark, table) if len(commit.deltas) >= table.many else commit
 
 
+def _fold(spark: SparkSession, table: Maintained, last: Commit, rows: DataFrame, fed: dict[str, int]) -> Commit:
+    """Write a type 1 table and a batch of its changes as a new base."""
+    number = last.number + 1
+    rows = rows.withColumn(COMMIT, F.lit(number).cast("long"))
+    columns = _merged(last.columns, rows.schema)
+    both = _current(spark, table, last).unionByName(rows, allowMissingColumns=True)
+    folder = f"base-{number}"
+    kept = _newest(table, both.select(*[F.col(f"`{c}`") for c in columns.names]))
+    kept.write.mode("overwrite").parquet(f"{table.root}/{folder}")
+    count = spark.read.schema(columns).parquet(f"{table.root}/{folder}").count()
+    commit = Commit(number, columns.json(), folder, count, [], 0, fed)
+    return _publish(spark, table, commit)
+
+
 def compact(spark: SparkSession, table: Maintained) -> Commit | None:
     """Fold all deltas into a new base."""
     last = read_commit(spark, table)
     if last is None or not last.deltas:
         return last
+    if last.base is None and len(last.deltas) == 1 and not table.history:
+        # a type 1 base is laid out as a delta is, so the first delta becomes the base
+        first = replace(last, base=last.deltas[0], base_rows=last.delta_rows, deltas=[], delta_rows=0)
+        return _publish(spark, table, replace(first, number=last.number + 1))
     folder = f"base-{last.number + 1}"
     rows = _current(spark, table, last)
     writer = rows.write

@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -127,20 +126,18 @@ def refine(
 ) -> None:
     """Type, check, and split each batch into clean rows and audit records.
 
-    A violated fail rule stops the run before the batch writes anything. The typed
-    batch is read three times, so it is kept for the length of the batch. ``then`` gets the
-    clean rows as they were written, and the number of the batch.
+    A violated fail rule stops the run before the batch writes anything. The check and the
+    audit read the columns of their rules only, so a batch is not kept: its files are
+    fixed, and one that has gone fails the batch. ``then`` gets the clean rows as they were
+    written, and the number of the batch.
     """
 
     def write(df: DataFrame, batch: int) -> None:
-        kept = typed(df).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            check_fail_rules(kept, rules)
-            assessed = assess(kept, rules)
-            write_batch(onward(clean_rows(assessed)), clean_table, batch)
-            write_batch(audit_records(assessed, *names), audit_table, batch)
-        finally:
-            kept.unpersist()
+        rows = typed(df)
+        check_fail_rules(rows, rules)
+        assessed = assess(rows, rules)
+        write_batch(onward(clean_rows(assessed)), clean_table, batch)
+        write_batch(audit_records(assessed, *names), audit_table, batch)
         if then is not None:
             then(df.sparkSession.read.parquet(batch_folder(clean_table, batch)), batch)
 

@@ -135,3 +135,10 @@ def test_operation_codes(spark):
     got = df.select(code, deleted_flag(code, "1").alias("a"), deleted_flag(code, "D").alias("b")).collect()
     assert [r[0] for r in got if r.a == "Y"] == ["1"] and [r[0] for r in got if r.b == "Y"] == ["D"]
     assert without_operations(df, ["2", "4"]).count() == 4
+
+
+def test_deletes_sort_only_the_keys_that_are_gone(spark):
+    landing = stamped(snapshot_deletes(snapshot(spark, ("a", 1), ("b", 2)), None, ["k"]), 1)
+    found = snapshot_deletes(snapshot(spark, ("b", 2)), landing, ["k"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.index("LeftAnti")  # the join feeds the window

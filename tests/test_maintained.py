@@ -72,6 +72,24 @@ def test_a_run_that_failed_before_its_commit_leaves_nothing(spark, tmp_path, mon
     same(spark, kept, [("a", 1, 1, "x"), ("a", 2, 1, "right")])
 
 
+def test_a_large_batch_goes_into_the_base_at_once(spark, tmp_path):
+    kept = table(tmp_path / "t", False)
+    first = [(f"k{i}", 1, 1, "x") for i in range(40)]
+    commit = m.apply_changes(kept, frame(spark, first), "one", 0)
+    # nothing was there to be folded with, so the rows are written once
+    assert commit.base == "delta-1" and commit.base_rows == 40 and not commit.deltas
+    later = [(f"k{i}", d, 2, "y") for i in range(30, 60) for d in (0, 2)]
+    commit = m.apply_changes(kept, frame(spark, later), "one", 1, len(later))
+    assert commit.base == f"base-{commit.number}" and commit.base_rows == 60 and not commit.deltas
+    assert not (tmp_path / "t" / f"delta-{commit.number}").exists()
+    same(spark, kept, [*first, *later])
+    assert m.apply_changes(kept, frame(spark, later), "one", 1, len(later)) == commit
+    few = [("k1", 3, 3, "z"), ("k1", 0, 3, "never"), ("new", 3, 3, "z")]
+    commit = m.apply_changes(kept, frame(spark, few), "one", 2, len(few))
+    assert len(commit.deltas) == 1 and commit.delta_rows == 2
+    same(spark, kept, [*first, *later, *few])
+
+
 def test_deltas_hold_what_changes_touch(spark, tmp_path):
     kept = table(tmp_path / "t", True)
     many = [(f"k{i}", d, 1, "x") for i in range(200) for d in (1, 5, 9)]
