@@ -39,17 +39,25 @@ class Intervals:
         return self.rows().select(*self.keys, F.explode(both).alias("boundary"))
 
 
-def slices(tables: Sequence[Intervals], start: str = "slice_start", end: str = "slice_end") -> DataFrame:
+def dealt(df: DataFrame, columns: Sequence[str], parts: int | None) -> DataFrame:
+    """Rows by ``columns`` in so many partitions; without a number it stays with the planner."""
+    return df if parts is None else df.repartition(parts, *columns)
+
+
+def slices(
+    tables: Sequence[Intervals], start: str = "slice_start", end: str = "slice_end", parts: int | None = None
+) -> DataFrame:
     """Consecutive slices between all boundary dates a key has in any table.
 
-    Each table is read once. Boundaries are made distinct before the shuffle.
+    Each table is read once. Boundaries are made distinct before the shuffle, which has
+    ``parts`` partitions if that is given.
     """
     keys = list(tables[0].keys)
     points = reduce(
         lambda a, b: a.unionByName(b),
         [t.boundaries().toDF(*keys, "boundary") for t in tables],
     )
-    points = points.filter(F.col("boundary").isNotNull()).distinct()
+    points = dealt(points.filter(F.col("boundary").isNotNull()).distinct(), keys, parts)
     following = F.lead("boundary").over(Window.partitionBy(*keys).orderBy("boundary"))
     return (
         points.select(*keys, F.col("boundary").alias(start), following.alias(end))
@@ -65,6 +73,7 @@ def align(
     outer: bool = False,
     unique: bool = False,
     years: int = 10,
+    parts: int | None = None,
 ) -> DataFrame:
     """Attach the columns of every version, of each table in turn, that contains a slice.
 
@@ -72,7 +81,8 @@ def align(
     year only and a hot key spreads over its years. Years before and after the last
     ``years`` of the first table share one part each, so an open or ancient end costs
     few extra rows; any choice gives the same result. All joins share the cut, so the
-    slices are shuffled once. ``unique`` states that no table repeats a version.
+    slices are shuffled once, to ``parts`` partitions if that is given. ``unique`` states
+    that no table repeats a version.
     """
     keys = list(tables[0][0].keys)
     newest = tables[0][0].rows().agg(F.max(tables[0][0].start)).scalar()
@@ -81,7 +91,7 @@ def align(
     def year_part(day: Column) -> Column:
         return F.greatest(F.least(F.year(day), last), last - years)
 
-    found = sliced.withColumn("__at", year_part(F.col(start)))
+    found = dealt(sliced.withColumn("__at", year_part(F.col(start))), [*keys, "__at"], parts)
     for versions, columns in tables:
         rows = versions.rows().filter(F.col(versions.start) < F.col(versions.end))
         rows = rows.select(

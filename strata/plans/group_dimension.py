@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strata.functions.labels import COUNT_TYPES, deleted_flag, label
 from strata.functions.parsing import mixed_date, open_end, term_date
 from strata.operators.mapping import EntityMapping
-from strata.operators.temporal import Intervals, align, islands, slices, trim
+from strata.operators.temporal import Intervals, align, dealt, islands, slices, trim
 from strata.plans.config import CDC_CONFIG, DQ_CONFIG, SOURCE_CONFIG, TRANSFORM_CONFIG
 
 DIMENSION = "D_Group"
@@ -219,6 +219,9 @@ TRIMMED = {
     ],
 }
 
+#: versions and counts whose timelines one task of the gold build takes
+ROWS_OF_A_TASK = 1 << 17
+
 INCREMENTAL = "incremental_run,apply_correction,apply_test"
 
 
@@ -303,6 +306,7 @@ def gold(
     by_system: bool = True,
     only: DataFrame | None = None,
     with_deleted: bool = True,
+    size: int | None = None,
 ) -> DataFrame:
     """Closed-day timeline of every group: entity, history and employee counts combined.
 
@@ -311,8 +315,14 @@ def gold(
     ``only`` lists the Group_Source_Key values to build (all without it), ``with_deleted``
     lets deleted rows take part. ``county_as_country`` publishes the county as the
     country. Count types are parallel timelines of one group. Without ``require_counts``
-    slices without an employee count stay, as for a source that sends none.
+    slices without an employee count stay, as for a source that sends none. With ``size``,
+    the number of versions and counts together, the wide rows of a timeline are dealt out
+    to as many tasks as that needs, so that a task holds no more of a larger table; else
+    the session's number of partitions decides.
     """
+    parts = size // ROWS_OF_A_TASK + 1 if size else None
+    if parts and parts <= group.sparkSession.sparkContext.defaultParallelism:
+        parts = None
     key = ["Group_Source_Key", "Source_System_Code"] if by_system else ["Group_Source_Key"]
 
     def chosen(df: DataFrame) -> DataFrame:
@@ -325,11 +335,11 @@ def gold(
     group, history, count = map(chosen, (group, history, count))
     hist = Intervals(history, key, "Row_Effective_Date", "Row_Term_Date")
     counts = Intervals(count, key, "Row_Effective_Date", "Row_Term_Date", "Employee_Count <> 0")
-    rows = slices([counts, hist]).join(group.select(*key, *GROUP_ATTRIBUTES), key)
+    rows = slices([counts, hist], parts=parts).join(group.select(*key, *GROUP_ATTRIBUTES), key)
     if require_counts:
-        rows = align(rows, [(hist, HISTORY_ATTRIBUTES), (counts, COUNT_ATTRIBUTES)], unique=True)
+        rows = align(rows, [(hist, HISTORY_ATTRIBUTES), (counts, COUNT_ATTRIBUTES)], unique=True, parts=parts)
     else:
-        rows = align(rows, [(hist, HISTORY_ATTRIBUTES)], unique=True)
+        rows = align(rows, [(hist, HISTORY_ATTRIBUTES)], unique=True, parts=parts)
         rows = align(rows, [(counts, COUNT_ATTRIBUTES)], unique=True, outer=True)
     country = F.col("Address_County") if county_as_country else F.col("Country")
     rows = rows.withColumns(
@@ -348,7 +358,8 @@ def gold(
     line = [*key, "Count_Type"]
     if mode == "state":
         # islands and trimming both work within a timeline: move the wide rows once
-        merged = islands(rows.repartition(*line), line, attributes, "slice_start", "slice_end")
+        together = rows.repartition(*line) if parts is None else dealt(rows, line, parts)
+        merged = islands(together, line, attributes, "slice_start", "slice_end")
     else:
         distinct = rows.distinct()
         merged = islands(distinct, key, [*attributes, "Count_Type"], "slice_start", "slice_end", mode)

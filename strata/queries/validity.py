@@ -219,7 +219,7 @@ def gold_group(spark: SparkSession, folder: str) -> DataFrame:
     # gold reads the published silver tables, as a run does
     history = save_and_read(history, "history")
     count = save_and_read(count, "count")
-    rows = dim.gold(group, history, count)
+    rows = dim.gold(group, history, count, size=history.count() + count.count())
     return rows.select(
         "Group_Source_Key", "Source_System_Code", "Row_Effective_Date", "Row_Term_Date", "Group_Name",
         "Group_Type_Code", "Status_Code", "Address_City", "Country", "Renewal_MMDD", "Employee_Count",

@@ -51,3 +51,16 @@ def test_gold_moves_the_marks_once(spark, data):
     merged = islands(rows, ["k"], attributes, "slice_start", "slice_end")
     text = plan(trim(merged, ["k"], "slice_start", "slice_end"))
     assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_gold_is_dealt_out_by_its_size(spark, data, monkeypatch):
+    """A task of the wide steps holds a number of rows, not a share of the table."""
+    from strata.plans import group_dimension as dim
+    from strata.queries.validity import gold_group
+
+    want = sorted(map(str, gold_group(spark, data).collect()))
+    monkeypatch.setattr(dim, "ROWS_OF_A_TASK", 100)
+    found = gold_group(spark, data)
+    dealt = [x for x in plan(found).splitlines() if "REPARTITION_BY_NUM" in x]
+    assert len(dealt) >= 3 and all(int(x.split("), REPARTITION")[0].rsplit(" ", 1)[1]) > 20 for x in dealt)
+    assert sorted(map(str, found.collect())) == want
