@@ -138,8 +138,9 @@ def _current(
             base = base.where(F.col(OPEN) == 1).unionByName(closed).drop(OPEN)
     if not commit.deltas:
         return base
-    # a single delta holds no position twice
-    newest = read(commit.deltas) if len(commit.deltas) == 1 else _newest(table, read(commit.deltas))
+    # a single type 1 delta holds no key twice
+    alone = len(commit.deltas) == 1 and not table.history
+    newest = read(commit.deltas) if alone else _newest(table, read(commit.deltas))
     if base is None:
         return late(newest)
     if not table.history:
