@@ -60,6 +60,73 @@ def test_against_all_pairs(spark, monkeypatch, ring, block, askers):
     assert got == all_pairs(rows, 7, 8)
 
 
+def test_queries_travel_once_for_a_group_of_rings(spark, monkeypatch):
+    """What a round's requests hold follows the number of groups, not that of the rings asked for."""
+    seen, made = [], pivots._Index.requests
+
+    def requests(self, askers, order, k):
+        out = made(self, askers, order, k)
+        lengths = [F.coalesce(F.length(c), F.lit(0)) for c, t in out.dtypes if t == "binary"]
+        seen.append(out.agg(F.sum(sum(lengths, F.lit(0)))).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(pivots._Index, "requests", requests)
+    monkeypatch.setattr(pivots, "RING", 1)
+    monkeypatch.setattr(pivots, "BLOCK", 64)
+    rng = np.random.default_rng(5)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.integers(-30, 30, (2000, 8)))]
+    got = found(pivots.top_products(frame(spark, rows), F.col("vec_id") % 5 == 0, k=20))
+    assert got == all_pairs(rows, 20, 5)
+    # 32 groups, eight components and four numbers besides a bit for a ring of some 320
+    assert max(seen) <= 400 * 32 * (8 * 8 + 4 * 8 + 8)
+
+
+@pytest.mark.parametrize("most", [100, 30_000, 2**29])
+def test_components_of_any_width(spark, monkeypatch, most):
+    monkeypatch.setattr(pivots, "RING", 8)
+    monkeypatch.setattr(pivots, "BLOCK", 16)
+    rng = np.random.default_rng(most)
+    high = [int(m) for m in rng.choice([3, 100, most], 200)]
+    rows = [(i, rng.integers(-h, h, rng.integers(0, 6)).tolist()) for i, h in enumerate(high)]
+    got = found(pivots.top_products(frame(spark, rows), F.col("vec_id") % 4 == 0, k=5))
+    assert got == all_pairs(rows, 5, 4)
+
+
+def test_vectors_without_components(spark):
+    rows = [(i, []) for i in range(6)]
+    got = found(pivots.top_products(frame(spark, rows), F.col("vec_id") % 3 == 0, k=4))
+    assert got == all_pairs(rows, 4, 3)
+
+
+@pytest.mark.parametrize("held, tile", [(1 << 16, (1024, 1024)), (0, (3, 5))])
+def test_answer_of_a_group(monkeypatch, held, tile):
+    """Against all pairs of the rings asked for, with many equal scores, queries among the vectors and floors."""
+    monkeypatch.setattr(pivots, "HELD", held)
+    monkeypatch.setattr(pivots, "TILE", tile)
+    rng, k, blocks = np.random.default_rng(9), 3, []
+    for ring in (4, 4, 5, 7):
+        ids = np.sort(rng.integers(0, 40, 30))
+        blocks.append((ring, rng.permutation(30) + 100 * len(blocks), ids, rng.integers(-2, 2, (30, 4)).astype(np.int8)))
+    names = np.concatenate([blocks[0][1][:10], np.arange(1000, 1010)])
+    q = np.concatenate([blocks[0][3][:10], rng.integers(-2, 2, (10, 4)).astype(np.int8)])
+    mask = rng.integers(0, 2, (20, 4)).astype(bool)
+    floors, ties = np.full(20, pivots.LEAST), np.full(20, pivots.MOST)
+    floors[::3], ties[::3] = 4, 20
+    spots = np.arange(20) + 7
+    columns = {"rows": names, "ids": ties, "m": q, "spots": spots, "floors": floors, "mask": np.packbits(mask, axis=1)}
+    got = pivots.answer({c: v.tobytes() for c, v in columns.items()}, blocks, 4, 4, 8.0, k)
+    got = [tuple(map(int, r)) for r in zip(*got)]
+    for i in range(20):
+        pairs = [
+            (-int(q[i].astype(int) @ v.astype(int)), int(d), int(r))
+            for ring, rows, ids, m in blocks if mask[i, ring - 4]
+            for r, d, v in zip(rows, ids, m) if r != names[i]
+        ]
+        need = [p for p in sorted(pairs)[:k] if (p[0], p[1]) <= (-int(floors[i]), ties[i])]
+        mine = [(-s, d, r) for at, s, d, r in got if at == i + 7]
+        assert mine[: len(need)] == need and len(mine) <= k
+
+
 def test_odd_rows(spark):
     rows = [(0, [1, 2]), (0, [1, 2]), (1, None), (2, [3, None]), (None, [9, 9]), (3, []), (4, [5]), (6, [-1, 0, 7])]
     got = found(pivots.top_products(frame(spark, rows), F.col("vec_id") % 2 == 0, k=20))
