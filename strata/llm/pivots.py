@@ -37,9 +37,9 @@ BLOCK, ASKERS, RING = 4096, 1024, 512
 #: bytes of a block and of a group of blocks, groups that a table should have if blocks suffice
 BLOCK_BYTES, GROUP_BYTES, GROUPS = 4 << 20, 32 << 20, 32
 #: queries and vectors that are multiplied at once, pairs of query and ring that are bounded at once and by a task
-TILE, CELLS, BOUNDED = (1024, 1024), 1 << 17, 1 << 24
+TILE, CELLS, BOUNDED = (1024, 1024), 1 << 17, 1 << 23
 #: candidates of a block of queries, besides some for each, and bytes that are gathered before they go on
-HELD, SENT = 1 << 16, 4 << 20
+HELD, SENT = 1 << 16, 1 << 20
 
 LEAST, MOST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 #: a block of queries and the best that they have found: spots are places of queries in the block
@@ -246,6 +246,8 @@ def _mapped(df: DataFrame, ddl: str, make: Callable[[Iterator[pa.RecordBatch]],
 def _flowing(df: DataFrame, ddl: str, make: Callable[[Iterator[dict]], Iterable[tuple]]) -> DataFrame:
     """Rows made of the rows of a task, in their order; few are held at a time. ``make`` gives them as tuples."""
     bound_batches(df.sparkSession)
+    # rows are large here: fewer at once
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 2 * SENT)
     target = arrow_schema(df.sparkSession, ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,7 +351,7 @@ class _Index:
         placed = ringed.join(F.broadcast(spark.createDataFrame(places, ddl)), ["pivot", "ring"])
         placed = placed.withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")))
         # queries are few bytes but much work
-        self.tasks = int(np.clip(sum(askers.values()) * len(found) // BOUNDED, 1, 1024))
+        self.tasks = int(np.clip(sum(askers.values()) * len(found) // BOUNDED, 1, 256))
         grp = F.expr(f"int((before + (part * n) div parts) div {of_group})")
         spread = placed.select(grp.alias("grp"), "at", "part", "vec_id", "row", "v").repartition("at", "part")
 
